@@ -9,9 +9,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_MARKS = re.compile("[̀-ͯ]+")
+_MARKS = re.compile("[\u0300-\u036f]+")
 _TAGS = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&(?:[a-zA-Z]{2,8}|#\d{2,6}|#x[0-9a-fA-F]{2,6});")
-_HYPHEN = re.compile("-[ \t]*\r?\n[ \t]*|­")
+_HYPHEN = re.compile("-[ \t]*\r?\n[ \t]*|\u00ad")
 
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64 (fixed values).
 _P = 0x9E3779B97F4A7C15
@@ -33,7 +33,7 @@ def folded(text: str) -> str:
     """Lower case without accents; markup and soft breaks of lines inside words removed."""
     if "<" in text or "&" in text:
         text = _TAGS.sub(" ", text)
-    if "­" in text or "-" in text:
+    if "\u00ad" in text or "-" in text:
         text = _HYPHEN.sub("", text)
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
