@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.plans import nested
+from quillspark.plans import citing, nested, records, words
 
-MODULES = (nested,)
+MODULES = (citing, nested, records, words)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.QUERIES["p1_found"](spark, folder)
+    return citing.QUERIES["j7_coupling"](spark, folder)
 
 
 def queries() -> dict:
