@@ -269,15 +269,17 @@ def cluster_pairs(members: DataFrame) -> DataFrame:
     return a.join(b, "cluster").where("id_a < id_b").select("id_a", "id_b").distinct()
 
 
-def institution_clusters(institutions: DataFrame, id: str = "inst_id", name: str = "display_name", ror: str = "ror") -> DataFrame:
+def institution_clusters(institutions: DataFrame, id: str = "inst_id", name: str = "display_name", ror: str = "ror",
+                         known: DataFrame | None = None) -> DataFrame:
     """``(id, cluster)`` of organisation rows: one cluster an organisation, by name or a shared ror id.
 
-    Rows without a name stand alone unless they share a ror id; identical rows count once.
+    Rows without a name stand alone unless they share a ror id; identical rows count once. ``known`` may hold
+    ``organisations`` of the names already.
     """
     rows = institutions.select(F.col(id).cast("bigint").alias("id"), F.col(name).alias("name"),
                                F.lower(F.regexp_extract(F.regexp_replace(F.trim(F.col(ror)), "/+$", ""), r"([^/]+)$", 1)).alias("ror")
                                ).where("id is not null").dropDuplicates(["id"])
-    rows = save(rows.join(organisations(rows.select("name")), "name", "left"))
+    rows = save(rows.join(organisations(rows.select("name")) if known is None else known, "name", "left"))
     by_org = rows.where("org is not null").groupBy("org").agg(F.min("id").alias("low"))
     by_ror = rows.where("ror <> ''").groupBy("ror").agg(F.min("id").alias("low"))
     edges = rows.join(by_org, "org").select("id", "low").union(rows.join(by_ror, "ror").select("id", "low"))
@@ -312,7 +314,7 @@ def with_fit(pairs: DataFrame) -> DataFrame:
 
 
 def author_clusters(authors: DataFrame, id: str = "author_id", name: str = "display_name", orcid: str = "orcid",
-                    institutions: str = "institutions", k: int = 2) -> DataFrame:
+                    institutions: str = "institutions", k: int = 2, known: DataFrame | None = None) -> DataFrame:
     """``(id, cluster)`` of author profiles: one cluster a person.
 
     Strong links: one ORCID, or surnames within ``k`` edits, agreeing full given names and one organisation.
@@ -327,7 +329,7 @@ def author_clusters(authors: DataFrame, id: str = "author_id", name: str = "disp
         F.transform(F.col(institutions), lambda i: i["name"]).alias("orgs")).where("id is not null").dropDuplicates(["id"]))
     names = save(rows.select("id", "name").where("name is not null").mapInArrow(_people, "id bigint, surname string, given string, readings int"))
     org_names = rows.select("id", F.explode("orgs").alias("name")).where("name is not null").distinct()
-    orgs = save(org_names.join(organisations(org_names), "name").select("id", "org").distinct())
+    orgs = save(org_names.join(organisations(org_names) if known is None else known, "name").select("id", "org").distinct())
     similar = similar_strings(names, "surname", k).where("edits <= case when least(length(a), length(b)) >= 8 then 2 when least(length(a), length(b)) >= 5 then 1 else 0 end")
     same = names.select(F.col("surname").alias("a"), F.col("surname").alias("b"), F.lit(0).alias("edits")).distinct()
     similar = save(similar.unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b"), "edits")).unionByName(same))
@@ -380,11 +382,23 @@ def author_clusters(authors: DataFrame, id: str = "author_id", name: str = "disp
         only = (hits.join(best, "cluster").where("least(edits, 1) = m.e and -fit = m.f").groupBy("cluster")
                 .agg(F.min("to").alias("lo"), F.max("to").alias("hi")).where("lo = hi").select(F.col("cluster").alias("x"), F.col("lo").alias("y")))
         extra = ini if stage == "initials" else None
-        moved = cluster.select(F.col("id").alias("x"), F.col("cluster").alias("y")).union(only)
-        cluster = _clusters(rows, moved if extra is None else moved.union(extra))
+        if extra is not None:
+            at = cluster.select(F.col("id").alias("x"), F.col("cluster").alias("cx"))
+            to = cluster.select(F.col("id").alias("y"), F.col("cluster").alias("cy"))
+            only = only.union(extra.join(at, "x").join(to, "y").select("cx", "cy"))
+        merged = connected_components(only, "x", "y")
+        cluster = (cluster.join(merged, cluster["cluster"] == merged["node"], "left")
+                   .select("id", F.coalesce("component", "cluster").alias("cluster")))
     return cluster
 
 
+def all_clusters(authors: DataFrame, institutions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``author_clusters`` and ``institution_clusters``, with the names of organisations in both linked once."""
+    names = authors.select(F.explode("institutions.name").alias("name")).union(institutions.select("display_name"))
+    known = save(organisations(names))
+    return author_clusters(authors, known=known), institution_clusters(institutions, known=known)
+
+
 def _clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
     comp = connected_components(edges, "x", "y")
     return rows.select("id").join(comp, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("cluster"))

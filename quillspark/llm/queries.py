@@ -8,7 +8,7 @@ from quillspark.functions.ids import bare_segment
 from quillspark.llm.leaks import leaked, without_leaks
 from quillspark.llm.matching import match_items_listings
 from quillspark.llm.mixture import mix_sources
-from quillspark.llm.names import author_clusters, cluster_pairs, institution_clusters
+from quillspark.llm.names import all_clusters, cluster_pairs
 from quillspark.llm.reading import reading_levels
 from quillspark.llm.set_pairs import SimilarSets, similar_sets
 from quillspark.llm.survivor import item_keys, paper_groups, survivors
@@ -30,16 +30,14 @@ def p2_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    people = cluster_pairs(author_clusters(table(spark, d, "authors")))
-    orgs = cluster_pairs(institution_clusters(table(spark, d, "institutions")))
+    people, orgs = map(cluster_pairs, all_clusters(table(spark, d, "authors"), table(spark, d, "institutions")))
     return (people.select(F.lit("author").alias("entity"), "id_a", "id_b")
             .union(orgs.select(F.lit("institution").alias("entity"), "id_a", "id_b")))
 
 
 def p3_clusters(spark: SparkSession, d: str) -> DataFrame:
     """One row per author profile and institution with the smallest id of its cluster."""
-    people = author_clusters(table(spark, d, "authors"))
-    orgs = institution_clusters(table(spark, d, "institutions"))
+    people, orgs = all_clusters(table(spark, d, "authors"), table(spark, d, "institutions"))
     return (people.select(F.lit("author").alias("entity"), "id", "cluster")
             .union(orgs.select(F.lit("institution").alias("entity"), "id", "cluster")))
 
