@@ -27,9 +27,9 @@ def connected_components(edges: DataFrame, u: str, v: str, rounds: int = 40) ->
          .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     e = save(e)
     mark = _mark(e)
+    if mark[0] == 0:
+        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(rounds):
-        if mark[0] == 0:
-            break
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

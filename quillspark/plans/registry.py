@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.plans import citing, nested, records, words
+from quillspark.plans import citing, daily, nested, quality, records, words
 
-MODULES = (citing, nested, records, words)
+MODULES = (citing, daily, nested, quality, records, words)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
