@@ -33,6 +33,7 @@ def doi(c: Column) -> Column:
 
 def arxiv_id(c: Column) -> Column:
     """The bare arXiv id without version, from an id, an address or a DOI of the arXiv form; else null."""
+    c = F.regexp_replace(c, r"(?i)^.*arxiv[.:]\s*(?=[\da-z])", "")
     new = F.regexp_extract(c, r"(?<![\d.])(\d{4}\.\d{4,5})(?:v\d+)?(?!\d)", 1)
     old = F.lower(F.regexp_extract(c, r"(?<![\w.])([a-zA-Z\-]+(?:\.[A-Z]{2})?/\d{7})(?:v\d+)?(?!\d)", 1))
     return F.coalesce(_some(new), _some(old))
