@@ -215,7 +215,7 @@ def fit(texts: list[str], grades: np.ndarray, steps: int = 50, l2: float = 1e-6)
     vocabulary = Vocabulary()
     features = (1 << WORD_BITS) + (1 << CHAR_BITS)
     y = np.asarray(grades, int) - 1
-    half = np.arange(len(texts)) % 2 == 0
+    half = np.random.default_rng(0).permutation(len(texts)) % 2 == 0
 
     #: how likely a sentence of each level is in a document of each grade, at first
     near = np.array([[0.7 ** (3 * abs(i - j)) for j in range(LEVELS)] for i in range(LEVELS)])

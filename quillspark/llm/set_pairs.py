@@ -150,8 +150,9 @@ def signature_rows(batches, plan: Plan, hot_tokens: np.ndarray, probe: bool):
             seg_key = _keys(total, r, s, bucket, 1)
             with np.errstate(over="ignore"):
                 less = total[of] - h
-            warm_less = warm[of]
-            # a segment of one token leaves nothing: as hot as can be
+            # what a deletion leaves is hot if all of it is; a segment of one token leaves nothing
+            hots = np.bincount(of, hot_t, len(size)).astype(np.int64)
+            warm_less = hots[of] - hot_t == size[of] - 1
             gone = size[of] == 1
             if not probe:
                 emit(seg_key, r, warm)

@@ -129,7 +129,17 @@ class Consensus:
                 c = self.columns[at]
                 at += 1
             else:
-                c = {None: self.weight}
+                # a column that the consensus leaves out may already hold this token
+                k = at
+                while k < len(self.columns) and heads[k] is None and tokens[j] not in self.columns[k]:
+                    k += 1
+                if k < len(self.columns) and heads[k] is None:
+                    for c in self.columns[at:k]:
+                        c[None] = c.get(None, 0) + weight
+                        columns.append(c)
+                    c, at = self.columns[k], k + 1
+                else:
+                    c = {None: self.weight}
             if j >= 0:
                 c[tokens[j]] = c.get(tokens[j], 0) + weight
             elif first <= p <= last:  # a value that ends early doesn't vote on what lies beyond its ends
