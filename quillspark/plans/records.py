@@ -256,3 +256,76 @@ def s46_s49_cards(spark, d):
     return (papers(spark, d).where(~F.exists("authors", lambda a: a["name"].isNull())).select(
         "item_id", F.concat(F.array_join(names, ", "), F.when(F.size("authors") > 3, " et al.").otherwise("")).alias("byline"),
         F.when((F.col("state") == "published") & F.col("arxiv").isNotNull(), "was a preprint").alias("note")))
+
+
+@query(PP + """, c AS (SELECT source_id, count(*) FILTER (WHERE len(raw_refs) > 0) AS ours, count(*) AS all_ FROM p WHERE source_id IS NOT NULL GROUP BY 1)
+SELECT count(*) AS sources, round(quantile_cont(ours / all_, 0.5), 6) AS median_share, round(min(ours / all_), 6) AS least, round(max(ours / all_), 6) AS most, round(avg(CASE WHEN ours >= 0.9 * all_ THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS nearly_all FROM c""")
+def a82_completeness(spark, d):
+    """How complete reference lists are, by source."""
+    raw = table(spark, d, "items").dropDuplicates(["item_id"]).select(I.bare_segment(F.col("bibliography.primary_location.source_id")).alias("source_id"),
+                                                                     (F.coalesce(F.size("graph.referenced_works"), F.lit(0)) > 0).alias("has"))
+    c = raw.where("source_id is not null").groupBy("source_id").agg(F.count_if("has").alias("ours"), F.count("*").alias("all_"))
+    r = F.col("ours") / F.col("all_")
+    return c.agg(F.count("*").alias("sources"), F.round(F.percentile(r, 0.5), 6).alias("median_share"), F.round(F.min(r), 6).alias("least"), F.round(F.max(r), 6).alias("most"),
+                 F.round(F.avg(F.when(F.col("ours") >= 0.9 * F.col("all_"), 1.0).otherwise(0.0)), 6).alias("nearly_all"))
+
+
+@query(PP + r""", k AS (SELECT item_id, CASE WHEN url LIKE '%/abs/%' THEN 'preprint' WHEN url LIKE '%/article/%' THEN 'article' WHEN url LIKE '%/item/%' THEN 'deposit' WHEN url IS NULL OR trim(url) = '' THEN 'none' ELSE 'other' END AS kind FROM p)
+SELECT kind, count(*) AS papers FROM k GROUP BY kind""")
+def a83_kind_tally(spark, d):
+    u = F.col("url")
+    kind = (F.when(u.contains("/abs/"), "preprint").when(u.contains("/article/"), "article").when(u.contains("/item/"), "deposit")
+            .when(u.isNull() | (F.trim(u) == ""), "none").otherwise("other"))
+    return papers(spark, d).groupBy(kind.alias("kind")).agg(F.count("*").alias("papers"))
+
+
+@query(PP + """, k AS (SELECT DISTINCT work_key FROM p), x AS (SELECT DISTINCT work_key FROM documents WHERE work_key IS NOT NULL)
+SELECT count(*) AS known, count(x.work_key) AS resolved, round(count(x.work_key) / nullif(count(*), 0), 6) AS share FROM k LEFT JOIN x ON x.work_key = k.work_key""")
+def a71_a72_resolved_share(spark, d):
+    x = table(spark, d, "documents").where("work_key is not null").select("work_key").distinct().withColumn("x", F.lit(1))
+    return papers(spark, d).select("work_key").distinct().join(x, "work_key", "left").agg(
+        F.count("*").alias("known"), F.count("x").alias("resolved"), F.round(F.count("x") / F.nullif(F.count("*"), F.lit(0)), 6).alias("share"))
+
+
+@query(PP + """ SELECT count(*) AS papers, count(*) FILTER (WHERE abstract IS NOT NULL) AS with_abstract, count(*) FILTER (WHERE openalex IS NOT NULL) AS with_openalex, count(*) FILTER (WHERE len(raw_refs) > 0) AS with_references,
+  count(*) FILTER (WHERE state = 'published') AS published, count(*) FILTER (WHERE state = 'published' AND arxiv IS NOT NULL) AS published_with_arxiv, count(DISTINCT day) AS days FROM p""")
+def a78_archive_counts(spark, d):
+    raw = table(spark, d, "items").dropDuplicates(["item_id"])
+    st = F.col("publication_status.state") == "published"
+    return raw.agg(F.count("*").alias("papers"), F.count("bibliography.abstract").alias("with_abstract"), F.count("ids.openalex").alias("with_openalex"),
+                   F.count_if(F.coalesce(F.size("graph.referenced_works"), F.lit(0)) > 0).alias("with_references"), F.count_if(st).alias("published"),
+                   F.count_if(st & F.col("ids.arxiv").isNotNull()).alias("published_with_arxiv"), F.countDistinct("first_published").alias("days"))
+
+
+@query(PP + """ SELECT coalesce(source_name, 'unknown') AS source, count(*) AS unreadable FROM p WHERE abstract IS NULL OR trim(abstract) = '' GROUP BY 1""")
+def a32_a79_unreadable_by_source(spark, d):
+    return (papers(spark, d).where("abstract is null or trim(abstract) = ''").groupBy(F.coalesce("source_name", F.lit("unknown")).alias("source"))
+            .agg(F.count("*").alias("unreadable")))
+
+
+@query(PT + """, m AS (SELECT max(day) AS today FROM p), w AS (SELECT p.source_id, t.subfield, sum(pow(0.5, greatest(date_diff('day', t.day, today), 0) / 180.0)) AS w FROM t JOIN p ON p.item_id = t.item_id, m
+  WHERE p.source_id IS NOT NULL AND t.subfield IS NOT NULL AND t.day IS NOT NULL GROUP BY 1, 2)
+SELECT subfield, count(*) AS sources, round(sum(w), 3) AS weighted, round(sum(w) / sum(sum(w)) OVER (), 4) AS share FROM w GROUP BY subfield""")
+def a41_a68_weighted_shares(spark, d):
+    """Decayed weight of each subfield over sources, and its share of all."""
+    from quillspark.operators.citations import decayed
+
+    x = topics(spark, d).join(papers(spark, d).select("item_id", "source_id"), "item_id").where("source_id is not null and subfield is not null and day is not null")
+    last = papers(spark, d).agg(F.max("day").alias("today"))
+    w = x.crossJoin(F.broadcast(last)).groupBy("source_id", "subfield").agg(F.sum(decayed(F.datediff("today", "day"), 180)).alias("w"))
+    g = w.groupBy("subfield").agg(F.count("*").alias("sources"), F.sum("w").alias("w"))
+    whole = g.agg(F.sum("w").alias("whole"))
+    return g.crossJoin(F.broadcast(whole)).select("subfield", "sources", F.round("w", 3).alias("weighted"), F.round(F.col("w") / F.col("whole"), 4).alias("share"))
+
+
+@query(PP + """, kept AS (SELECT day, count(*) AS n FROM p WHERE len(categories) > 0 GROUP BY day), rest AS (SELECT day, count(*) AS n FROM p WHERE len(categories) = 0 GROUP BY day)
+SELECT coalesce(kept.day, rest.day) AS day, coalesce(kept.n, 0) AS kept, coalesce(rest.n, 0) AS rejected FROM kept FULL JOIN rest ON kept.day = rest.day WHERE coalesce(kept.day, rest.day) IS NOT NULL""")
+def a64_intake_both_sides(spark, d):
+    return papers(spark, d).where("day is not null").groupBy("day").agg(F.count_if(F.size("categories") > 0).alias("kept"), F.count_if(F.size("categories") == 0).alias("rejected"))
+
+
+@query(PP + """, f AS (SELECT item_id, list_transform(flatten(list_transform(authors, lambda a: coalesce(a.institutions, []))), lambda i: i.name) AS l FROM p)
+SELECT item_id, list_sort(list_distinct(list_filter(l, lambda x: x IS NOT NULL))) AS orgs FROM f""")
+def s19_organisations_of_papers(spark, d):
+    names = F.transform(F.flatten(F.transform("authors", lambda a: F.coalesce(a["institutions"], F.array()))), lambda i: i["name"])
+    return papers(spark, d).select("item_id", F.array_sort(F.array_distinct(F.array_compact(names))).alias("orgs"))
