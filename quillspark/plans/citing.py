@@ -166,6 +166,7 @@ def a9_betweenness(spark, d):
    WHERE r.ref IN (SELECT ref FROM r GROUP BY ref HAVING count(*) <= 20))
 SELECT u.person AS a, v.person AS b, count(*) AS weight FROM x u JOIN x v ON u.ref = v.ref AND u.person < v.person GROUP BY 1, 2 HAVING count(*) >= 3""")
 def a7_researchers_sharing_references(spark, d):
+    """The part of ``a7_researcher_projection`` that the SQL states: references of at most 20 records, pairs that share three or more."""
     rare = refs(spark, d).groupBy("ref").agg(F.count("*").alias("n")).where("n <= 20").select("ref")
     people = (papers(spark, d).select("item_id", F.explode("authors").alias("a")).where("a.openalex is not null")
               .select("item_id", bare_segment(F.col("a.openalex")).alias("person")).distinct())
@@ -173,6 +174,18 @@ def a7_researchers_sharing_references(spark, d):
     return G.projection(x, "ref", "person").where("weight >= 3")
 
 
+@query()
+def a7_researcher_projection(spark, d):
+    """All pairs of researchers that share a reference, with the number of references shared."""
+    return researcher_projection(papers(spark, d))
+
+
+def researcher_projection(works):
+    people = works.select("item_id", F.explode("authors").alias("a")).select("item_id", bare_segment(F.col("a.openalex")).alias("person")).where("person is not null").distinct()
+    x = people.join(works.select("item_id", F.explode("refs").alias("ref")), "item_id").select("person", "ref")
+    return G.salted_projection(x, "ref", "person")
+
+
 @query(f"""{PT}, e AS (SELECT 'topic' AS facet, topic AS id, label, item_id, day FROM t
   UNION ALL SELECT 'person', upper(regexp_extract(a.openalex, '([^/:]+)$', 1)), a.name, item_id, day FROM (SELECT item_id, day, unnest(authors) AS a FROM p) WHERE a.openalex IS NOT NULL
   UNION ALL SELECT 'org', regexp_extract(rtrim(i.ror, '/'), '([^/]+)$', 1), i.name, item_id, day FROM (SELECT item_id, day, unnest(a.institutions) AS i FROM

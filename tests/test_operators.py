@@ -116,3 +116,23 @@ def test_metrics(spark):
     t = spark.createDataFrame([(3, 1, 1, 3)], "a int, b int, c int, d int")
     assert t.select(M.fisher_exact("a", "b", "c", "d")).first()[0] == pytest.approx(0.4857, abs=1e-3)
     assert M.mann_whitney(df, "s", "p").first()["p"] is None
+
+
+def test_researcher_projection_keeps_hot_references_and_single_shares(spark):
+    from itertools import combinations
+    from quillspark.plans.citing import researcher_projection
+
+    rng = random.Random(5)
+    works = [(i, [{"openalex": f"https://x/a{rng.randrange(40)}"} for _ in range(2)] + [{"openalex": None}], ["HOT"] * (i < 60) + [f"W{rng.randrange(30)}"]) for i in range(70)]
+    by_ref: dict = {}
+    for _, authors, refs in works:
+        for r in refs:
+            by_ref.setdefault(r, set()).update(a["openalex"][-3:].strip("/").upper() for a in authors if a["openalex"])
+    want: dict = {}
+    for people in by_ref.values():
+        for p in combinations(sorted(people), 2):
+            want[p] = want.get(p, 0) + 1
+    df = spark.createDataFrame(works, "item_id long, authors array<struct<openalex:string>>, refs array<string>")
+    assert {(r.a, r.b): r.weight for r in researcher_projection(df).collect()} == want
+    tags = spark.createDataFrame([(r, p) for r, people in by_ref.items() for p in people], "r string, p string")
+    assert {(r.a, r.b): r.weight for r in G.salted_projection(tags, "r", "p", 4).collect()} == want
