@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quillspark.durable import save
 from quillspark.functions import ids as I, text as T
 from quillspark.operators import merge as X, ranking as K
 from quillspark.plans.common import PP, PR, PT, collection, papers, refs, topics
@@ -105,11 +106,23 @@ def j4_status_changes(spark, d):
 @query(PP + r""", k AS (SELECT item_id, list_filter(['a:' || nullif(regexp_extract(arxiv, '(\d{4}\.\d{4,5})', 1), ''), 'w:' || nullif(upper(regexp_extract(trim(openalex), '([^/:\s]+)/*$', 1)), '')], lambda x: x IS NOT NULL) AS keys FROM p)
 SELECT item_id, list_sort(list_distinct(keys)) AS keys FROM k""")
 def j25_identity_keys(spark, d):
+    """The part of ``j25_paper_keys`` that the SQL states: arXiv id and OpenAlex id as they stand in ids."""
     a, w = I.arxiv_id(F.col("arxiv")), I.bare_segment(F.col("openalex"))
     keys = F.array_compact(F.array(F.concat(F.lit("a:"), a), F.concat(F.lit("w:"), w)))
     return papers(spark, d).select("item_id", F.array_sort(F.array_distinct(keys)).alias("keys"))
 
 
+@query()
+def j25_paper_keys(spark, d):
+    """All identity keys of each record: arXiv id, DOI and OpenAlex id of work_key, ids and landing page."""
+    return identity_keys(papers(spark, d))
+
+
+def identity_keys(p):
+    keys = I.paper_keys(F.col("work_key"), F.concat(F.lit("arxiv:"), I.arxiv_id(F.col("arxiv"))), F.col("doi"), F.col("openalex"), F.col("url"))
+    return p.select("item_id", F.array_sort(keys).alias("keys"))
+
+
 _MEMBERS = PP + r""", k AS (SELECT item_id, nullif(regexp_extract(arxiv, '(\d{4}\.\d{4,5})', 1), '') AS k FROM p), m AS (SELECT p.*, min(p.item_id) OVER (PARTITION BY k.k) AS root FROM p JOIN k ON k.item_id = p.item_id WHERE k.k IS NOT NULL),
   o AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY CASE WHEN work_key LIKE 'arxiv:%' THEN 0 WHEN work_key LIKE 'doi:%' THEN 1 WHEN work_key LIKE 'openalex:%' THEN 2 ELSE 3 END, work_key, item_id) AS o FROM m)"""
 
@@ -118,7 +131,8 @@ _MEMBERS = PP + r""", k AS (SELECT item_id, nullif(regexp_extract(arxiv, '(\d{4}
   max(cited) AS cited, last(state ORDER BY o) FILTER (WHERE state = 'published') AS published, count(*) AS members, list_sort(list_distinct(flatten(list(collectors)))) AS collectors,
   list_sort(list_distinct(list(work_key))) AS member_keys FROM o GROUP BY root""")
 def a1_a2_collapse(spark, d):
-    """Records of one arXiv paper merged field by field in the order of their keys."""
+    """Records of one arXiv paper merged field by field in the order of their keys: the part of ``a1_a2_clusters`` that the SQL states,
+    by the arXiv id in ids alone and without the records that have none."""
     p = papers(spark, d).withColumn("k", I.arxiv_id(F.col("arxiv"))).where("k is not null")
     low = p.groupBy("k").agg(F.min("item_id").alias("root"))
     o = F.struct(I.key_rank(F.col("work_key")), "work_key", "item_id")
@@ -128,6 +142,23 @@ def a1_a2_collapse(spark, d):
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("collectors")))).alias("collectors"), F.array_sort(F.collect_set("work_key")).alias("member_keys")))
 
 
+@query()
+def a1_a2_clusters(spark, d):
+    """All records, those of one paper merged field by field in the order of their keys; a paper is what shared keys join, directly or
+    through other records, and a record alone stays."""
+    return collapse(papers(spark, d))
+
+
+def collapse(p):
+    groups = X.identity_groups(save(identity_keys(p)), "item_id", "keys").select(F.col("id").alias("item_id"), "root")
+    o = F.struct(I.key_rank(F.col("work_key")), "work_key", "item_id")
+    return p.join(groups, "item_id").groupBy("root").agg(
+        F.min_by("work_key", o).alias("work_key"), X.first_filled(F.when(F.trim("abstract") != "", F.col("abstract")), o).alias("abstract"),
+        X.first_filled(F.col("doi"), o).alias("doi"), F.max("cited").alias("cited"),
+        X.last_filled(F.when(F.col("state") == "published", F.col("state")), o).alias("published"), F.count("*").alias("members"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("collectors")))).alias("collectors"), F.array_sort(F.collect_set("work_key")).alias("member_keys"))
+
+
 @query()
 def j2_fuzzy_titles(spark, d):
     """Pairs of records with one first author's surname and nearly equal titles."""

@@ -136,3 +136,31 @@ def test_researcher_projection_keeps_hot_references_and_single_shares(spark):
     assert {(r.a, r.b): r.weight for r in researcher_projection(df).collect()} == want
     tags = spark.createDataFrame([(r, p) for r, people in by_ref.items() for p in people], "r string, p string")
     assert {(r.a, r.b): r.weight for r in G.salted_projection(tags, "r", "p", 4).collect()} == want
+
+
+PAPER = ("item_id long, work_key string, arxiv string, doi string, openalex string, url string, abstract string, cited long, state string, "
+         "collectors array<string>, title string, day date, authors array<struct<name:string>>, refs array<string>, source_name string, collected_at long")
+
+
+def paper_rows(spark, *rows):
+    base = {"collectors": ["c"], "cited": 0, "authors": [], "refs": [], "collected_at": 0}
+    names = [x.split()[0] for x in PAPER.split(", ")]
+    return spark.createDataFrame([tuple((base | r).get(n) for n in names) for r in rows], PAPER)
+
+
+def test_collapse_joins_by_all_keys_and_keeps_singletons(spark):
+    from quillspark.plans.records import collapse, identity_keys
+
+    p = paper_rows(spark, {"item_id": 1, "work_key": "doi:10.1000/a", "doi": "https://doi.org/10.1000/A", "abstract": " ", "cited": 4, "collectors": ["x"]},
+                   {"item_id": 2, "work_key": "openalex:W5", "openalex": "https://x/w5", "doi": "10.1000/a", "abstract": "Text", "state": "published"},
+                   {"item_id": 3, "work_key": "arxiv:2608.00001v2", "openalex": "W5", "url": "https://x/abs/2608.00001v1"},
+                   {"item_id": 4, "work_key": "other:4", "url": "https://x/abs/2608.00001"}, {"item_id": 5, "work_key": "other:5"},
+                   {"item_id": 6, "work_key": "doi:10.48550/arXiv.math/0309136", "arxiv": "math/0309136", "doi": "10.48550/arXiv.math/0309136"})
+    keys = {r.item_id: r["keys"] for r in identity_keys(p).collect()}
+    assert keys == {1: ["doi:10.1000/a"], 2: ["doi:10.1000/a", "openalex:W5"], 3: ["arxiv:2608.00001", "openalex:W5"], 4: ["arxiv:2608.00001"], 5: [],
+                    6: ["arxiv:math/0309136"]}
+    got = {r.root: r for r in collapse(p).collect()}
+    assert {k: r.members for k, r in got.items()} == {1: 4, 5: 1, 6: 1}
+    r = got[1]
+    assert (r.work_key, r.abstract, r.cited, r.published, r.collectors) == ("arxiv:2608.00001v2", "Text", 4, "published", ["c", "x"])
+    assert r.member_keys == ["arxiv:2608.00001v2", "doi:10.1000/a", "openalex:W5", "other:4"]
