@@ -244,7 +244,18 @@ def j14_clusters(spark, d):
   g AS (SELECT DISTINCT x.s AS u, y.s AS v FROM e x JOIN e y ON x.p = y.p), reach AS (SELECT u, v FROM g UNION SELECT r.u, g.v FROM reach r JOIN g ON r.v = g.u)
 SELECT u AS node, min(v) AS component FROM reach GROUP BY u HAVING count(*) > 1""")
 def j3_components(spark, d):
-    e = table(spark, d, "lineitem").where("l_quantity >= 50").select("l_suppkey", "l_partkey").distinct()
+    """Suppliers joined by the parts in lines of quantity 50 or more: the part of ``j3_all_components`` that the SQL states."""
+    return supplier_components(table(spark, d, "lineitem").where("l_quantity >= 50"))
+
+
+@query()
+def j3_all_components(spark, d):
+    """Suppliers joined by common parts, directly or through others, over all lines."""
+    return supplier_components(table(spark, d, "lineitem"))
+
+
+def supplier_components(lines):
+    e = lines.select("l_suppkey", "l_partkey").distinct()
     low = e.groupBy("l_partkey").agg(F.min("l_suppkey").alias("low"))
     return connected_components(e.join(low, "l_partkey"), "l_suppkey", "low")
 

@@ -142,6 +142,16 @@ def a1_a2_collapse(spark, d):
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("collectors")))).alias("collectors"), F.array_sort(F.collect_set("work_key")).alias("member_keys")))
 
 
+@query()
+def j3_paper_components(spark, d):
+    """Each record with the smallest record of its paper: what shared keys join, directly or through other records; a record alone is its own."""
+    return paper_components(papers(spark, d))
+
+
+def paper_components(p):
+    return X.identity_groups(save(identity_keys(p)), "item_id", "keys").select(F.col("id").alias("item_id"), "root")
+
+
 @query()
 def a1_a2_clusters(spark, d):
     """All records, those of one paper merged field by field in the order of their keys; a paper is what shared keys join, directly or
@@ -150,7 +160,7 @@ def a1_a2_clusters(spark, d):
 
 
 def collapse(p):
-    groups = X.identity_groups(save(identity_keys(p)), "item_id", "keys").select(F.col("id").alias("item_id"), "root")
+    groups = paper_components(p)
     o = F.struct(I.key_rank(F.col("work_key")), "work_key", "item_id")
     return p.join(groups, "item_id").groupBy("root").agg(
         F.min_by("work_key", o).alias("work_key"), X.first_filled(F.when(F.trim("abstract") != "", F.col("abstract")), o).alias("abstract"),

@@ -164,3 +164,35 @@ def test_collapse_joins_by_all_keys_and_keeps_singletons(spark):
     r = got[1]
     assert (r.work_key, r.abstract, r.cited, r.published, r.collectors) == ("arxiv:2608.00001v2", "Text", 4, "published", ["c", "x"])
     assert r.member_keys == ["arxiv:2608.00001v2", "doi:10.1000/a", "openalex:W5", "other:4"]
+
+
+def test_supplier_components_use_lines_of_any_quantity(spark):
+    from quillspark.plans.citing import supplier_components
+
+    rng = random.Random(7)
+    rows = [(rng.randrange(60), rng.randrange(90), float(rng.randrange(1, 51))) for _ in range(70)] + [(100, 200, 50.0), (101, 200, 1.0), (101, 201, 2.0), (102, 201, 50.0)]
+    group = {s: {s} for s, _, _ in rows}
+    for s, p, _ in rows:
+        for t, q, _ in rows:
+            if p == q and group[s] is not group[t]:
+                group[s] |= group[t]
+                for x in group[t]:
+                    group[x] = group[s]
+    got = dict(map(tuple, supplier_components(spark.createDataFrame(rows, "l_suppkey long, l_partkey long, l_quantity double")).collect()))
+    assert got == {s: min(g) for s, g in group.items() if len(g) > 1} and got[102] == 100
+
+
+def test_paper_components_match_union_find(spark):
+    from quillspark.plans.records import paper_components
+
+    rng = random.Random(11)
+    rows = [{"item_id": i, "work_key": f"doi:10.1000/{rng.randrange(90)}", "openalex": f"W{rng.randrange(90)}" if i % 2 else None,
+             "url": f"https://x/abs/2608.{rng.randrange(90):05d}" if i % 3 == 0 else None} for i in range(80)]
+    parent = {r["item_id"]: r["item_id"] for r in rows}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for a in rows:
+        for b in rows:
+            if any(a.get(k) and a.get(k) == b.get(k) for k in ("work_key", "openalex", "url")):
+                x, y = find(a["item_id"]), find(b["item_id"])
+                parent[max(x, y)] = min(x, y)
+    assert dict(map(tuple, paper_components(paper_rows(spark, *rows)).collect())) == {i: find(i) for i in parent}
