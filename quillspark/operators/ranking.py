@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillspark.durable import save
+
 
 def latest(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order; all columns kept."""
@@ -15,6 +17,19 @@ def top_in_group(df: DataFrame, by: list[str], order: list[Column], k: int, name
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint")).where(F.col(name) <= k)
 
 
+def places(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """Adds each row's place from 1 in an order of all rows (no two rows equal in it).
+
+    A running count in two levels, so that no task holds all rows: ranges of the order, sorted and written to the shared
+    folder with their number and the place within, then the count of rows in all ranges before. Runs a job.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    x = save(sorted_.withColumn("_b", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m"))
+    n = x.groupBy("_b").agg(F.count("*").alias("_n"))
+    ahead = n.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
+    return x.join(F.broadcast(ahead), "_b").withColumn(name, F.col("_ahead") + F.col("_i") + 1).drop("_b", "_i", "_ahead")
+
+
 def lent_slots(df: DataFrame, day: str, first: Column, first_order: list[Column], first_slots: int, other_order: list[Column],
                other_slots: int, other_most: int) -> DataFrame:
     """Per day the best rows of a first path and of another, which also gets the slots the first leaves free.

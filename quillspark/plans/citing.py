@@ -80,11 +80,24 @@ def a4_decayed_citations(spark, d):
 @query(f"{PR}, c AS (SELECT ref, count(*) AS demand FROM r GROUP BY ref), own AS (SELECT DISTINCT {_OWN} AS ref FROM p WHERE openalex IS NOT NULL) "
        "SELECT ref, demand, row_number() OVER (ORDER BY demand DESC, ref) AS place FROM c WHERE ref NOT IN (SELECT ref FROM own WHERE ref IS NOT NULL) QUALIFY place <= 200")
 def a5_demand_queue(spark, d):
+    """The first 200 of ``a5_whole_queue``, as the SQL states."""
     own = papers(spark, d).select(bare_segment(F.col("openalex")).alias("ref")).where("ref is not null").distinct()
     top = refs(spark, d).groupBy("ref").agg(F.count("*").alias("demand")).join(own, "ref", "left_anti").orderBy(F.desc("demand"), "ref").limit(200)
     return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("demand"), "ref")).cast("bigint"))
 
 
+@query()
+def a5_whole_queue(spark, d):
+    """Every reference that no record stands for, by demand and id."""
+    return demand_queue(refs(spark, d), papers(spark, d).select(bare_segment(F.col("openalex")).alias("ref")))
+
+
+def demand_queue(cited, own):
+    own = own.where("ref is not null").distinct()
+    c = cited.groupBy("ref").agg(F.count("*").alias("demand")).join(own, "ref", "left_anti")
+    return K.places(c, [F.desc("demand"), F.asc("ref")], "place")
+
+
 @query(f"""{PR}, m AS (SELECT max(day) AS today FROM r), c AS (SELECT ref,
   sum(pow(0.5, greatest(date_diff('day', day, today), 0) / 180.0)) AS w FROM r, m WHERE day IS NOT NULL GROUP BY ref),
   top AS (SELECT ref, round(w, 6) AS weighted FROM c ORDER BY round(w, 6) DESC, ref LIMIT 300)

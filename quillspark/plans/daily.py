@@ -128,9 +128,9 @@ def st2_sessions(spark, d):
 @query("""WITH e AS (SELECT date_trunc('hour', ts) AS hour, event_type FROM events), h AS (SELECT DISTINCT hour FROM e), u AS (SELECT DISTINCT event_type FROM e)
 SELECT h.hour, u.event_type FROM h, u WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.hour = h.hour AND e.event_type = u.event_type)""")
 def st4_silent_sources(spark, d):
-    """Hours in which a known source delivered nothing while others did. The kinds of source are few and broadcast."""
+    """Hours in which a known source delivered nothing while others did."""
     e = table(spark, d, "events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type").distinct()
-    grid = e.select("hour").distinct().crossJoin(F.broadcast(e.select("event_type").distinct().limit(1000)))
+    grid = e.select("hour").distinct().crossJoin(e.select("event_type").distinct())
     return grid.join(e, ["hour", "event_type"], "left_anti")
 
 

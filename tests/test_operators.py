@@ -196,3 +196,28 @@ def test_paper_components_match_union_find(spark):
                 x, y = find(a["item_id"]), find(b["item_id"])
                 parent[max(x, y)] = min(x, y)
     assert dict(map(tuple, paper_components(paper_rows(spark, *rows)).collect())) == {i: find(i) for i in parent}
+
+
+def test_demand_queue_is_whole_and_in_order(spark):
+    from quillspark.plans.citing import demand_queue
+
+    rng = random.Random(13)
+    cited = [f"W{int(rng.paretovariate(0.7)) % 3000}" for _ in range(4000)]
+    own = {"W1", "W17", "W18"}
+    count: dict = {}
+    for r in cited:
+        count[r] = count.get(r, 0) + 1
+    want = sorted(((r, n) for r, n in count.items() if r not in own), key=lambda x: (-x[1], x[0]))
+    got = demand_queue(spark.createDataFrame([(r,) for r in cited], "ref string"), spark.createDataFrame([*((r,) for r in own), (None,)], "ref string"))
+    assert len(want) > 200 and sorted((r.place, r.ref, r.demand) for r in got.collect()) == [(i, r, n) for i, (r, n) in enumerate(want, 1)]
+    assert K.places(spark.createDataFrame([], "v int"), [F.desc("v")]).count() == 0
+
+
+def test_silent_sources_know_every_kind(spark, tmp_path):
+    from datetime import datetime
+    from quillspark.plans.daily import st4_silent_sources
+
+    rows = [(datetime(2026, 1, 1, 5, 30), f"k{i}") for i in range(1100)] + [(datetime(2026, 1, 1, 9, 1), "k7")]
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = st4_silent_sources(spark, str(tmp_path)).collect()
+    assert {(r.hour.hour, r.event_type) for r in got} == {(9, f"k{i}") for i in range(1100) if i != 7} and len(got) == 1099
