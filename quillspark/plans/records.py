@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillspark.durable import save
 from quillspark.functions import ids as I, text as T
-from quillspark.operators import merge as X, ranking as K
+from quillspark.operators import merge as X, ranking as K, references as R
 from quillspark.plans.common import PP, PR, PT, collection, papers, refs, topics
 from quillspark.sources.tables import table
 
@@ -259,14 +259,45 @@ def j21_place_lookup(spark, d):
 
 @query(PR + """, b AS (SELECT item_id, list_sort(list(ref)) AS refs FROM r GROUP BY item_id) SELECT p.item_id, p.work_key, coalesce(b.refs, []) AS refs, len(coalesce(b.refs, [])) AS n FROM p LEFT JOIN b ON b.item_id = p.item_id""")
 def sc54_j9_reference_base(spark, d):
+    """The part of ``j9_reference_base`` that the SQL states: each record with its sorted references, none included."""
     return papers(spark, d).select("item_id", "work_key", F.array_sort("refs").alias("refs"), F.size("refs").cast("bigint").alias("n"))
 
 
 @query(PP + """ SELECT item_id, work_key, title, day, list_transform(authors[1:5], lambda a: a.name) AS first_authors FROM p""")
 def j10_work_index(spark, d):
+    """The records' part of ``j10_whole_index``, as the SQL states."""
     return papers(spark, d).select("item_id", "work_key", "title", "day", F.transform(F.slice("authors", 1, 5), lambda a: a["name"]).alias("first_authors"))
 
 
+@query()
+def j9_reference_base(spark, d):
+    """References of all records and of the works as fetched that no record stands for, one row for each key."""
+    return base_rows(papers(spark, d), table(spark, d, "raw_works"))
+
+
+def by_work_key(p):
+    """The last collected record of each key of its own, the key in one spelling."""
+    key = F.coalesce(F.get(I.paper_keys(F.col("work_key")), F.lit(0)), F.col("work_key"))
+    return K.latest(p.withColumn("work_key", key), ["work_key"], [F.desc("collected_at"), F.desc("item_id")])
+
+
+def base_rows(p, raw):
+    held = by_work_key(p.select("item_id", "work_key", "day", "refs", "collected_at").where(F.size("refs") > 0))
+    return R.reference_base(held, identity_keys(p), R.raw_works(raw))
+
+
+@query()
+def j10_whole_index(spark, d):
+    """Title, first authors, year, venue and DOI of all records and of the works as fetched under other keys."""
+    return index_rows(papers(spark, d), table(spark, d, "raw_works"))
+
+
+def index_rows(p, raw):
+    held = p.select("item_id", "work_key", "title", "day", "collected_at", F.transform(F.slice("authors", 1, 5), lambda a: a["name"]).alias("first_authors"),
+                    F.col("source_name").alias("venue"), I.doi(F.col("doi")).alias("doi"))
+    return R.work_index(by_work_key(held), R.raw_works(raw))
+
+
 @query(PP + """, a AS (SELECT unnest(collectors) AS c, categories, item_id FROM p) SELECT c AS collector, category, count(*) AS papers FROM (SELECT c, unnest(categories) AS category FROM a) GROUP BY 1, 2""")
 def a16_category_intake(spark, d):
     return (papers(spark, d).select(F.explode("collectors").alias("collector"), "categories").select("collector", F.explode("categories").alias("category"))

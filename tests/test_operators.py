@@ -221,3 +221,32 @@ def test_silent_sources_know_every_kind(spark, tmp_path):
     spark.createDataFrame(rows, "ts timestamp_ntz, event_type string").write.parquet(f"{tmp_path}/events.parquet")
     got = st4_silent_sources(spark, str(tmp_path)).collect()
     assert {(r.hour.hour, r.event_type) for r in got} == {(9, f"k{i}") for i in range(1100) if i != 7} and len(got) == 1099
+
+
+def test_reference_base_and_index_add_unclaimed_raw_works(spark):
+    import json
+    from quillspark.operators.references import first_claims
+    from quillspark.plans.records import base_rows, index_rows
+
+    rng = random.Random(17)
+    keys = [(i, [f"k{rng.randrange(60)}" for _ in range(rng.randrange(1, 4))]) for i in range(60)] + [(100, ["a"]), (101, ["a", "b"]), (102, ["b"])]
+    claimed, want = set(), set()
+    for i, ks in keys:
+        if not claimed & set(ks):
+            claimed |= set(ks)
+            want.add(i)
+    assert {r.id for r in first_claims(spark.createDataFrame(keys, "i long, k array<string>"), "i", "k").collect()} == want and 102 in want
+    p = paper_rows(spark, {"item_id": 1, "work_key": "openalex:W1", "openalex": "W1", "doi": "10.1000/one", "refs": ["W9", "W8"], "title": "One", "collected_at": 5},
+                   {"item_id": 2, "work_key": "openalex:w1", "refs": ["W7"], "title": "Old", "collected_at": 4},
+                   {"item_id": 3, "work_key": "openalex:W3", "openalex": "W3", "title": "Three"})
+    work = lambda **x: json.dumps({"referenced_works": ["w5", "https://x/W4", "w5"], "display_name": "T"} | x)
+    raw = [work(id="https://x/W1"), work(id="W77", doi="https://doi.org/10.1000/ONE"), work(id="W3"), work(id="W20", publication_date="2026-01-02",
+           authorships=[{"author": {"display_name": n}} for n in "abcdef"]), work(id="W20"), work(id="W21", doi="10.1000/z"), work(id="W22", doi="10.1000/Z"),
+           work(id="W30", referenced_works=[]), work(display_name="no id"), "{broken"]
+    r = spark.createDataFrame(list(enumerate(raw)), "record_id long, payload string")
+    got = {x.work_key: x for x in base_rows(p, r).collect()}
+    assert {k: (x.from_raw, x.refs) for k, x in got.items()} == {"openalex:W1": (False, ["W8", "W9"]), "openalex:W20": (True, ["W4", "W5"]), "doi:10.1000/z": (True, ["W4", "W5"])}
+    index = {x.work_key: x for x in index_rows(p, r).collect()}
+    assert {k: (x.from_raw, x.title) for k, x in index.items()} == {"openalex:W1": (False, "One"), "openalex:W3": (False, "Three"), "openalex:W20": (True, "T"),
+                                                                    "doi:10.1000/one": (True, "T"), "doi:10.1000/z": (True, "T")}
+    assert index["openalex:W20"].first_authors == list("abcde") and index["openalex:W20"].year == 2026 and index["doi:10.1000/z"].doi == "10.1000/z"
