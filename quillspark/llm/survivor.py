@@ -165,6 +165,11 @@ def distance(a: list, b: list) -> float:
     return gaps / (len(a) + len(b))
 
 
+def lacking(text: list, whole: list) -> float:
+    """Share of the tokens of ``whole`` that ``text`` lacks."""
+    return sum(1 for i, j in aligned(text, whole) if i < 0) / max(1, len(whole))
+
+
 def tokens_of(text: str) -> list[str]:
     return text.lower().split()
 
@@ -201,15 +206,16 @@ def consensus(values: DataFrame, fan: int = 64) -> DataFrame:
 
 def _distances(batches):
     for b in batches:
-        d = [distance(tokens_of(t), tokens_of(c)) for t, c in zip(b.column("text").to_pylist(), b.column("consensus").to_pylist())]
-        yield pa.record_batch([b.column("g"), b.column("text"), pa.array(d, pa.float64())], names=["g", "text", "far"])
+        both = [(tokens_of(t), tokens_of(c)) for t, c in zip(b.column("text").to_pylist(), b.column("consensus").to_pylist())]
+        yield pa.record_batch([b.column("g"), b.column("text"), pa.array([distance(*x) for x in both], pa.float64()),
+                               pa.array([lacking(*x) for x in both], pa.float64())], names=["g", "text", "far", "lack"])
 
 
-def closest_text(records: DataFrame, tolerance: float = 0.1) -> DataFrame:
+def closest_text(records: DataFrame, tolerance: float = 0.1, missing: float = 0.12) -> DataFrame:
     """``(g, id)``: of each group of ``(g, id, text, at)`` the record whose text is closest to the consensus.
 
-    Texts within ``tolerance`` of the closest are equals; of their records the latest ``at`` is taken, then the
-    smallest id. Only groups with several distinct texts are aligned.
+    Texts within ``tolerance`` of the closest are equals unless they lack more of the consensus, by ``missing``, than the
+    one of them that lacks least; of the records of equals the latest ``at`` is taken, then the smallest id. Only groups with several distinct texts are aligned.
     """
     best = F.max(F.struct(F.col("at"), (-F.col("id")).alias("neg")))
     values = records.groupBy("g", "text").agg(F.count("*").alias("weight"), best.alias("best"))
@@ -219,9 +225,11 @@ def closest_text(records: DataFrame, tolerance: float = 0.1) -> DataFrame:
     several = counted.where("kinds > 1")
     held = consensus(several.select("g", "text", "weight"))
     far = (several.select("g", "text").join(held, "g").select("g", "text", "consensus")
-           .mapInArrow(_distances, "g bigint, text string, far double"))
+           .mapInArrow(_distances, "g bigint, text string, far double, lack double"))
     near = far.groupBy("g").agg(F.min("far").alias("least"))
-    picked = (several.join(far, ["g", "text"]).join(near, "g").where(F.col("far") <= F.col("least") + tolerance)
+    near = far.join(near, "g").where(F.col("far") <= F.col("least") + tolerance)
+    full = near.groupBy("g").agg(F.min("lack").alias("full"))
+    picked = (several.join(near, ["g", "text"]).join(full, "g").where(F.col("lack") <= F.col("full") + missing)
               .groupBy("g").agg(F.max("best").alias("best")))
     return one.union(picked.select("g", "best")).select("g", (-F.col("best.neg")).alias("id"))
 

@@ -186,6 +186,14 @@ def test_large_group_consensus(spark):
     assert survivor.closest_text(df, tolerance=0.0).count() == 1
 
 
+def test_recency_does_not_decide_for_a_shortened_text(spark):
+    words = [f"w{i}" for i in range(100)]
+    reworded = ["new" if i in (20, 50) else w for i, w in enumerate(words)]
+    rows = [(1, 1, " ".join(words), 1), (1, 2, " ".join(words[:85]), 9), (2, 3, " ".join(words), 1), (2, 4, " ".join(reworded), 9)]
+    got = survivor.closest_text(spark.createDataFrame(rows, "g long, id long, text string, at int"))
+    assert {tuple(r) for r in got.collect()} == {(1, 1), (2, 4)}
+
+
 # ---- p6
 
 def test_leaks(spark):
