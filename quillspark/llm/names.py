@@ -1,11 +1,12 @@
 """Variant spellings of names of people and organisations.
 
 A name is taken apart by rules that hold for names at large (titles, initials, order, accents,
-damaged encodings, nicknames, abbreviations of organisation words). What is left, the rare part
-of a name (a surname, a place), is compared within two edits by the pigeonhole segment join over
-the distinct values. Rows are then linked by evidence, never by all pairs of a block: rows of one
-identifier or of one full name at one organisation form clusters, and rows whose name or place of
-work is less complete join a cluster only if exactly one fits.
+damaged encodings, nicknames, abbreviations of organisation words). The words that are left
+(surnames, given names, places) are compared within two edits by one pigeonhole segment join over
+their distinct values, and names meet by equi-joins on similar surnames and similar given names.
+Rows are then linked by evidence, never by all pairs of a block: rows of one identifier or of one
+full name at one organisation form clusters, and rows whose name or place of work is less complete
+join a cluster only if exactly one fits.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import re
 import unicodedata
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillspark.durable import save
 from quillspark.llm.similar_strings import similar_strings
@@ -245,21 +246,43 @@ def _orgs(batches):
                                pa.array([p[1] for p in parts], pa.string())], names=["name", "kind", "place"])
 
 
-def organisations(names: DataFrame, k: int = 2) -> DataFrame:
-    """``(name, org)`` for a column ``name``: spellings of one organisation share ``org``.
+#: Edits that similar words may differ by, by their length; equal words always count.
+SURNAME = "edits <= case when least(length(a), length(b)) >= 8 then 2 when least(length(a), length(b)) >= 5 then 1 else 0 end"
+GIVEN = "edits = 0 or least(length(a), length(b)) >= 4"
+PLACE = "edits = 0 or (edits <= if(least(length(a), length(b)) >= 8, 2, 1) and least(length(a), length(b)) >= 4)"
 
-    Kinds must agree; places may differ by ``k`` edits, by one if they have fewer than eight letters.
+
+def similar_words(words: DataFrame, k: int = 2) -> DataFrame:
+    """``(a, b, edits)`` of all words ``word`` within ``k`` edits, in both orders and each with itself."""
+    words = save(words.where("word <> ''").distinct())
+    found = similar_strings(words, "word", k)
+    return save(found.select("a", "b", "edits").union(found.select("b", "a", "edits"))
+                .union(words.select(F.col("word").alias("a"), F.col("word").alias("b"), F.lit(0).alias("edits"))))
+
+
+def parsed_organisations(names: DataFrame) -> DataFrame:
+    """``(name, kind, place, key)`` of the distinct names; names without a word of weight are left out."""
+    return save(names.select("name").where("trim(name) <> ''").distinct()
+                .mapInArrow(_orgs, "name string, kind string, place string").where("kind <> '' or place <> ''")
+                .withColumn("key", F.xxhash64("kind", "place")))
+
+
+def organisations(parsed: DataFrame, similar: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """``(name, org)`` of ``parsed_organisations``: spellings of one organisation share ``org``.
+
+    Kinds must agree; places may differ by two edits, by one if they have fewer than eight letters. Names
+    of ``rows`` (``name``, ``ror``) with one ror id are one organisation too.
     """
-    parsed = save(names.select("name").where("trim(name) <> ''").distinct()
-                  .mapInArrow(_orgs, "name string, kind string, place string").where("kind <> '' or place <> ''"))
-    keys = parsed.select("kind", "place").distinct()
-    pairs = similar_strings(keys, "place", k).where("edits <= if(least(length(a), length(b)) >= 8, 2, 1) and least(length(a), length(b)) >= 4")
-    ids = keys.withColumn("key", F.xxhash64("kind", "place"))
-    x = ids.select(F.col("kind"), F.col("place").alias("a"), F.col("key").alias("x"))
-    y = ids.select(F.col("kind"), F.col("place").alias("b"), F.col("key").alias("y"))
-    linked = connected_components(x.join(pairs, "a").join(y, ["kind", "b"]).select("x", "y"), "x", "y")
-    return (parsed.withColumn("key", F.xxhash64("kind", "place")).join(linked, F.col("key") == F.col("node"), "left")
-            .select("name", F.coalesce("component", "key").alias("org")))
+    keys = parsed.select("kind", "place", "key").distinct()
+    x = keys.select("kind", F.col("place").alias("a"), F.col("key").alias("x"))
+    y = keys.select("kind", F.col("place").alias("b"), F.col("key").alias("y"))
+    edges = x.join(similar.where(PLACE), "a").join(y, ["kind", "b"]).where("x < y").select("x", "y")
+    if rows is not None:
+        held = rows.where("ror <> ''").join(parsed, "name").select("ror", "key").distinct()
+        low = held.groupBy("ror").agg(F.min("key").alias("low"), F.count("*").alias("n")).where("n > 1")
+        edges = edges.union(held.join(low, "ror").select("key", "low"))
+    linked = connected_components(edges, "x", "y")
+    return save(parsed.join(linked, F.col("key") == F.col("node"), "left").select("name", F.coalesce("component", "key").alias("org")))
 
 
 def cluster_pairs(members: DataFrame) -> DataFrame:
@@ -269,136 +292,192 @@ def cluster_pairs(members: DataFrame) -> DataFrame:
     return a.join(b, "cluster").where("id_a < id_b").select("id_a", "id_b").distinct()
 
 
-def institution_clusters(institutions: DataFrame, id: str = "inst_id", name: str = "display_name", ror: str = "ror",
-                         known: DataFrame | None = None) -> DataFrame:
+def institution_rows(institutions: DataFrame, id: str = "inst_id", name: str = "display_name", ror: str = "ror") -> DataFrame:
+    """``(id, name, ror)``, each id once, the ror id in one spelling."""
+    return save(institutions.select(F.col(id).cast("bigint").alias("id"), F.col(name).alias("name"),
+                                    F.lower(F.regexp_extract(F.regexp_replace(F.trim(F.col(ror)), "/+$", ""), r"([^/]+)$", 1)).alias("ror")
+                                    ).where("id is not null").dropDuplicates(["id"]))
+
+
+def _institution_clusters(rows: DataFrame, known: DataFrame) -> DataFrame:
+    named = rows.join(known, "name", "left")
+    by_ror = named.where("ror <> ''").groupBy("ror").agg(F.min("org").alias("of_ror"))
+    # rows without a readable name stand with those of their ror id
+    held = named.join(by_ror, "ror", "left").select("id", F.coalesce("org", "of_ror", F.when(F.col("ror") != "", F.xxhash64("ror"))).alias("org"))
+    low = held.where("org is not null").groupBy("org").agg(F.min("id").alias("low"))
+    return held.join(low, "org", "left").select("id", F.coalesce("low", "id").alias("cluster"))
+
+
+def institution_clusters(institutions: DataFrame, id: str = "inst_id", name: str = "display_name", ror: str = "ror") -> DataFrame:
     """``(id, cluster)`` of organisation rows: one cluster an organisation, by name or a shared ror id.
 
-    Rows without a name stand alone unless they share a ror id; identical rows count once. ``known`` may hold
-    ``organisations`` of the names already.
+    Rows without a name stand alone unless they share a ror id; identical rows count once.
     """
-    rows = institutions.select(F.col(id).cast("bigint").alias("id"), F.col(name).alias("name"),
-                               F.lower(F.regexp_extract(F.regexp_replace(F.trim(F.col(ror)), "/+$", ""), r"([^/]+)$", 1)).alias("ror")
-                               ).where("id is not null").dropDuplicates(["id"])
-    rows = save(rows.join(organisations(rows.select("name")) if known is None else known, "name", "left"))
-    by_org = rows.where("org is not null").groupBy("org").agg(F.min("id").alias("low"))
-    by_ror = rows.where("ror <> ''").groupBy("ror").agg(F.min("id").alias("low"))
-    edges = rows.join(by_org, "org").select("id", "low").union(rows.join(by_ror, "ror").select("id", "low"))
-    comp = connected_components(edges, "id", "low")
-    return rows.join(comp, rows["id"] == comp["node"], "left").select("id", F.coalesce("component", "id").alias("cluster"))
+    rows = institution_rows(institutions, id, name, ror)
+    parsed = parsed_organisations(rows)
+    return _institution_clusters(rows, organisations(parsed, similar_words(parsed.select(F.col("place").alias("word"))), rows))
 
 
 def _people(batches):
     for b in batches:
-        ids, surnames, givens, n = [], [], [], []
+        out = []
         for i, name in zip(b.column("id").to_pylist(), b.column("name").to_pylist()):
-            readings = person_parts(name or "")
-            for s, g in readings:
-                ids.append(i)
-                surnames.append(s)
-                givens.append(" ".join(g))
-                n.append(len(readings))
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(surnames, pa.string()), pa.array(givens, pa.string()),
-                               pa.array(n, pa.int32())], names=["id", "surname", "given", "readings"])
+            for s, g in person_parts(name or ""):
+                forms = sorted(_full_forms(g[0])) if g and len(g[0]) > 1 else []
+                out.append((i, s, " ".join(g), forms, sorted({f[0] for f in forms or g[:1]})))
+        cols = list(zip(*out)) or [()] * 5
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())))],
+                              names=["id", "surname", "given", "forms", "letters"])
 
 
-def _fits(batches):
-    for b in batches:
-        fit = [given_fit(tuple(x.split()), tuple(y.split())) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist())]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fit, pa.int32())], names=[*b.schema.names, "fit"])
+def parsed_people(rows: DataFrame) -> DataFrame:
+    """``(id, surname, given, forms, letters)``: the readings of each name. ``forms`` are the full forms of the first
+    given name, none for an initial; ``letters`` their first letters."""
+    return save(rows.select("id", "name").where("name is not null").mapInArrow(
+        _people, "id bigint, surname string, given string, forms array<string>, letters array<string>"))
 
 
 def with_fit(pairs: DataFrame) -> DataFrame:
-    """Adds ``fit``, the agreement of the given names ``ga`` and ``gb``, computed once per distinct pair of lists."""
-    kinds = pairs.select("ga", "gb").distinct().mapInArrow(_fits, "ga string, gb string, fit int")
-    return pairs.join(kinds, ["ga", "gb"])
+    """Adds ``fit``, the agreement of the given names ``ga`` and ``gb``."""
+    def fits(batches):
+        held: dict = {}
+        for b in batches:
+            fit = []
+            for k in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist()):
+                if k not in held:
+                    if len(held) > 200_000:
+                        held.clear()
+                    held[k] = given_fit(tuple(k[0].split()), tuple(k[1].split()))
+                fit.append(held[k])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fit, pa.int32())], names=[*b.schema.names, "fit"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
+    return pairs.mapInArrow(fits, kinds + ", fit int")
+
+
+def author_rows(authors: DataFrame, id: str = "author_id", name: str = "display_name", orcid: str = "orcid", institutions: str = "institutions") -> DataFrame:
+    """``(id, name, orcid, orgs)``, each id once, the ORCID as 16 characters or empty."""
+    code = F.regexp_extract(F.regexp_replace(F.upper(F.col(orcid)), "[^0-9X]", ""), r"([0-9]{15}[0-9X])$", 1)
+    return save(authors.select(F.col(id).cast("bigint").alias("id"), F.col(name).alias("name"), F.coalesce(code, F.lit("")).alias("orcid"),
+                               F.transform(F.col(institutions), lambda i: i["name"]).alias("orgs")).where("id is not null").dropDuplicates(["id"]))
+
 
+_STRONG = "size(forms) > 0"
 
-def author_clusters(authors: DataFrame, id: str = "author_id", name: str = "display_name", orcid: str = "orcid",
-                    institutions: str = "institutions", k: int = 2, known: DataFrame | None = None) -> DataFrame:
+
+def _state(looks: DataFrame) -> DataFrame:
+    """Looks of clusters with the ORCID of the cluster, and whether any of it names an organisation."""
+    held = looks.groupBy("cluster").agg(F.min(F.col("code")).alias("code"), F.max(F.col("org").isNotNull()).alias("placed"))
+    return save(looks.drop("code", "placed").distinct().join(held, "cluster"))
+
+
+def _weak_keys(of_need: bool) -> Column:
+    """Keys by which a name of initials, or none, meets others: never two names in full."""
+    letters, strong, empty = F.col("letters"), F.expr(_STRONG), F.col("given") == ""
+    s, w = F.transform(letters, lambda c: F.concat(F.lit("s"), c)), F.transform(letters, lambda c: F.concat(F.lit("w"), c))
+    if of_need:
+        return F.when(empty, F.array(F.lit("all"))).when(strong, F.concat(w, F.array(F.lit("none")))).otherwise(F.concat(s, w, F.array(F.lit("none"))))
+    return F.concat(F.when(empty, F.array(F.lit("none"))).when(strong, s).otherwise(w), F.array(F.lit("all")))
+
+
+def _joins(hits: DataFrame) -> DataFrame:
+    """``(x, y)``: the one cluster that each cluster of ``hits`` fits best, if no second fits as well.
+
+    Exact surnames come before similar ones, full names before initials; different ORCIDs keep clusters apart. A row of
+    ``hits`` stands for ``n`` clusters, of which it names the smallest and the largest.
+    """
+    hits = with_fit(hits.where("not (lo = cluster and hi = cluster) and (own is null or code is null or own = code)")).where("fit > 0")
+    hits = hits.select("cluster", F.least("edits", F.lit(1)).alias("e"), (-F.col("fit")).alias("f"), "n", F.explode(F.array("lo", "hi")).alias("to")).where("`to` <> cluster")
+    ranked = hits.groupBy("cluster", "e", "f").agg(F.min("to").alias("lo"), F.max("to").alias("hi"), F.max("n").alias("n"))
+    best = ranked.groupBy("cluster").agg(F.min_by(F.struct("lo", "hi", "n"), F.struct("e", "f")).alias("m"))
+    return best.where("m.lo = m.hi and m.n <= 2").select(F.col("cluster").alias("x"), F.col("m.lo").alias("y"))
+
+
+def _goal(state: DataFrame, *by) -> DataFrame:
+    return state.groupBy(*by, "code").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"), F.countDistinct("cluster").alias("n"))
+
+
+def _initials(state: DataFrame, surnames: DataFrame) -> DataFrame:
+    """Clusters known by initials at an organisation and the one full name there; those of equal initials are one."""
+    here = state.where("org is not null")
+    weak = here.where("size(forms) = 0")
+    goal = _goal(here.where(_STRONG).select("org", F.col("surname").alias("b"), F.explode(F.concat("letters", F.array(F.lit("")))).alias("c"), F.col("given").alias("gb"), "cluster", "code"),
+                 "org", "b", "c", "gb")
+    need = weak.select("cluster", "org", F.col("surname").alias("a"), F.substring("given", 1, 1).alias("c"), F.col("given").alias("ga"), F.col("code").alias("own")).distinct()
+    hits = need.join(surnames, "a").join(goal, ["org", "b", "c"]).select("cluster", "ga", "gb", "edits", "own", "code", "lo", "hi", "n")
+    alike = weak.groupBy("org", "surname", F.substring("given", 1, 1).alias("c")).agg(
+        F.coalesce(F.min(F.when(F.col("code").isNull(), F.col("cluster"))), F.min("cluster")).alias("low"), F.countDistinct("code").alias("codes"))
+    same = (weak.withColumn("c", F.substring("given", 1, 1)).join(alike, ["org", "surname", "c"]).where("codes <= 1 or code is null")
+            .select(F.col("cluster").alias("x"), F.col("low").alias("y")))
+    return _joins(hits).union(same)
+
+
+def _elsewhere(state: DataFrame, surnames: DataFrame, givens: DataFrame) -> DataFrame:
+    """Clusters without organisation and the one cluster of that name, wherever."""
+    need = state.where(~F.col("placed")).select("cluster", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("code").alias("own"), "forms", "letters", "given").distinct()
+    need = need.join(surnames, "a")
+    full = _goal(state.where(_STRONG).select(F.col("surname").alias("b"), F.explode("forms").alias("g"), F.col("given").alias("gb"), "cluster", "code"), "b", "g", "gb")
+    weak = _goal(state.select(F.col("surname").alias("b"), F.explode(_weak_keys(False)).alias("c"), F.col("given"), "cluster", "code")
+                 .select("b", "c", F.when(F.col("c") == "all", "").otherwise(F.col("given")).alias("gb"), "cluster", "code"), "b", "c", "gb")
+    of = ("cluster", "ga", "gb", "edits", "own", "code", "lo", "hi", "n")
+    hits = need.where(_STRONG).select("*", F.explode("forms").alias("f")).join(givens, "f").join(full, ["b", "g"]).select(*of)
+    return _joins(hits.union(need.select("*", F.explode(_weak_keys(True)).alias("c")).join(weak, ["b", "c"]).select(*of)))
+
+
+def _author_clusters(rows: DataFrame, names: DataFrame, known: DataFrame, similar: DataFrame) -> DataFrame:
+    orgs = rows.select("id", F.explode("orgs").alias("name")).join(known, "name").select("id", "org").distinct()
+    surnames = similar.where(SURNAME)
+    givens = similar.where(GIVEN).select(F.col("a").alias("f"), F.col("b").alias("g"))
+    full = save(names.join(rows.select("id", "orcid"), "id").join(orgs, "id", "left"))
+
+    # one node for all profiles that look alike
+    look = ("surname", "given", "orcid")
+    nodes = save(full.where("org is not null or orcid <> ''").groupBy(*look, F.coalesce("org", F.lit(0)).alias("at"))
+                 .agg(F.min("id").alias("node"), F.first("forms").alias("forms")))
+    alike = full.join(nodes.drop("forms"), [*(full[c] == nodes[c] for c in look), F.coalesce(full["org"], F.lit(0)) == nodes["at"]]).where("id <> node").select(
+        F.col("id").alias("x"), F.col("node").alias("y"))
+    here = nodes.where(F.col("at") != 0).where(_STRONG)
+    left = here.select("at", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("orcid").alias("oa"), F.col("node").alias("x"), F.explode("forms").alias("f"))
+    right = here.select("at", F.col("surname").alias("b"), F.col("given").alias("gb"), F.col("orcid").alias("ob"), F.col("node").alias("y"), F.explode("forms").alias("g"))
+    met = (left.join(surnames, "a").join(givens, "f").join(right, ["at", "b", "g"]).where("x < y and (oa = ob or oa = '' or ob = '')")
+           .select("x", "y", "ga", "gb"))
+    by_orcid = rows.where("orcid <> ''").groupBy("orcid").agg(F.min("id").alias("low"))
+    one_orcid = rows.join(by_orcid, "orcid").where("id <> low").select(F.col("id").alias("x"), F.col("low").alias("y"))
+    strong = connected_components(alike.union(with_fit(met).where("fit = 2").select("x", "y")).union(one_orcid), "x", "y")
+    cluster = save(rows.select("id").join(strong, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("cluster")))
+
+    state = _state(full.join(cluster, "id").select("cluster", "surname", "given", "forms", "letters", "org", F.nullif("orcid", F.lit("")).alias("code")))
+    first = connected_components(_initials(state, surnames), "x", "y")
+    moved = state.join(first, F.col("cluster") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "cluster")).drop("node", "component")
+    second = connected_components(_elsewhere(_state(moved), surnames, givens), "x", "y")
+    for links in (first, second):
+        cluster = cluster.join(links, F.col("cluster") == F.col("node"), "left").select("id", F.coalesce("component", "cluster").alias("cluster"))
+    return cluster
+
+
+def author_clusters(authors: DataFrame, id: str = "author_id", name: str = "display_name", orcid: str = "orcid", institutions: str = "institutions") -> DataFrame:
     """``(id, cluster)`` of author profiles: one cluster a person.
 
-    Strong links: one ORCID, or surnames within ``k`` edits, agreeing full given names and one organisation.
+    Strong links: one ORCID, or similar surnames, agreeing full given names and one organisation.
     Profiles with initials only or without organisation join the one strong cluster that fits them; if
     several fit, they stay apart. Different ORCIDs, conflicting given names and different known
     organisations keep profiles apart. Rows with a null id are ignored; a name without letters links by ORCID only.
     """
-    rows = save(authors.select(
-        F.col(id).cast("bigint").alias("id"), F.col(name).alias("name"),
-        F.coalesce(F.regexp_extract(F.regexp_replace(F.upper(F.col(orcid)), "[^0-9X]", ""), r"([0-9]{15}[0-9X])$", 1),
-                   F.lit("")).alias("orcid"),
-        F.transform(F.col(institutions), lambda i: i["name"]).alias("orgs")).where("id is not null").dropDuplicates(["id"]))
-    names = save(rows.select("id", "name").where("name is not null").mapInArrow(_people, "id bigint, surname string, given string, readings int"))
-    org_names = rows.select("id", F.explode("orgs").alias("name")).where("name is not null").distinct()
-    orgs = save(org_names.join(organisations(org_names) if known is None else known, "name").select("id", "org").distinct())
-    similar = similar_strings(names, "surname", k).where("edits <= case when least(length(a), length(b)) >= 8 then 2 when least(length(a), length(b)) >= 5 then 1 else 0 end")
-    same = names.select(F.col("surname").alias("a"), F.col("surname").alias("b"), F.lit(0).alias("edits")).distinct()
-    similar = save(similar.unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b"), "edits")).unionByName(same))
-
-    # distinct nodes (surname, given, organisation, orcid) stand for all profiles that look alike
-    full = names.join(orgs, "id", "left").join(rows.select("id", "orcid"), "id")
-    nodes = save(full.groupBy("surname", "given", "org", "orcid").agg(F.min("id").alias("node")))
-    like = Window.partitionBy("surname", "given", "org", "orcid")
-    alike = (full.where("org is not null or orcid <> ''")
-             .select(F.col("id").alias("x"), F.min("id").over(like).alias("y")))
-    strong = F.length(F.regexp_extract("given", r"^(\S+)", 1)) > 1
-    here = nodes.where("org is not null")
-    left = here.where(strong).select("org", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("orcid").alias("oa"), F.col("node").alias("x"))
-    right = here.where(strong).select("org", F.col("surname").alias("b"), F.col("given").alias("gb"), F.col("orcid").alias("ob"), F.col("node").alias("y"))
-    at_one = with_fit(left.join(similar, "a").join(right, ["org", "b"]).where("x < y and (oa = ob or oa = '' or ob = '')")).where("fit = 2").select("x", "y")
-    # initials alone, of one surname at one organisation
-    weak = here.where(~strong).groupBy("org", "surname", F.substring("given", 1, 1).alias("c")).agg(
-        F.coalesce(F.min(F.when(F.col("orcid") == "", F.col("node"))), F.min("node")).alias("low"),
-        F.countDistinct(F.when(F.col("orcid") != "", F.col("orcid"))).alias("codes"))
-    ini = (here.where(~strong).withColumn("c", F.substring("given", 1, 1)).join(weak, ["org", "surname", "c"])
-           .where("codes <= 1 or orcid = ''")
-           .select(F.col("node").alias("x"), F.col("low").alias("y")))
-    by_orcid = rows.where("orcid <> ''").groupBy("orcid").agg(F.min("id").alias("low"))
-    one_orcid = rows.join(by_orcid, "orcid").select(F.col("id").alias("x"), F.col("low").alias("y"))
-    cluster = _clusters(rows, alike.union(at_one).union(one_orcid))
-
-    for stage in ("initials", "elsewhere"):
-        cluster = save(cluster)
-        named = full.join(cluster, "id")
-        known = cluster.join(rows.where("orcid <> ''").select("id", "orcid"), "id").groupBy("cluster").agg(F.min("orcid").alias("code"))
-        placed = cluster.join(orgs, "id").select("cluster").distinct().withColumn("placed", F.lit(True))
-        sized = named.join(known, "cluster", "left").join(placed, "cluster", "left")
-        if stage == "initials":
-            # initials at an organisation go to the one full name there
-            goal = (sized.where("org is not null").where(strong).groupBy("org", "surname", "given")
-                    .agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"), F.max("code").alias("code")))
-            need = (sized.where("org is not null").where(~strong)
-                    .select("cluster", "org", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("code").alias("own")).distinct())
-            hits = need.join(similar, "a").join(goal.select("org", F.col("surname").alias("b"), F.col("given").alias("gb"), "lo", "hi", "code"), ["org", "b"])
-        else:
-            # clusters without organisation go to the one cluster of that name, wherever
-            goal = (sized.groupBy("surname", "given").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi"), F.max("code").alias("code")))
-            need = (sized.where("placed is null").select("cluster", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("code").alias("own")).distinct())
-            hits = need.join(similar, "a").join(goal.select(F.col("surname").alias("b"), F.col("given").alias("gb"), "lo", "hi", "code"), "b")
-        hits = with_fit(hits.where("not (lo = cluster and hi = cluster)")).where("fit > 0")
-        hits = hits.select("cluster", "edits", "fit", "own", "code", F.explode(F.array("lo", "hi")).alias("to")).where("`to` <> cluster")
-        hits = hits.where("own is null or code is null or own = code")
-        # exact surnames before similar ones, full names before initials
-        best = hits.groupBy("cluster").agg(F.min(F.struct(F.least("edits", F.lit(1)).alias("e"), (-F.col("fit")).alias("f"))).alias("m"))
-        only = (hits.join(best, "cluster").where("least(edits, 1) = m.e and -fit = m.f").groupBy("cluster")
-                .agg(F.min("to").alias("lo"), F.max("to").alias("hi")).where("lo = hi").select(F.col("cluster").alias("x"), F.col("lo").alias("y")))
-        extra = ini if stage == "initials" else None
-        if extra is not None:
-            at = cluster.select(F.col("id").alias("x"), F.col("cluster").alias("cx"))
-            to = cluster.select(F.col("id").alias("y"), F.col("cluster").alias("cy"))
-            only = only.union(extra.join(at, "x").join(to, "y").select("cx", "cy"))
-        merged = connected_components(only, "x", "y")
-        cluster = (cluster.join(merged, cluster["cluster"] == merged["node"], "left")
-                   .select("id", F.coalesce("component", "cluster").alias("cluster")))
-    return cluster
+    rows = author_rows(authors, id, name, orcid, institutions)
+    names, parsed = parsed_people(rows), parsed_organisations(rows.select(F.explode("orgs").alias("name")))
+    similar = similar_words(_words(names, parsed))
+    return _author_clusters(rows, names, organisations(parsed, similar), similar)
 
 
-def all_clusters(authors: DataFrame, institutions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``author_clusters`` and ``institution_clusters``, with the names of organisations in both linked once."""
-    names = authors.select(F.explode("institutions.name").alias("name")).union(institutions.select("display_name"))
-    known = save(organisations(names))
-    return author_clusters(authors, known=known), institution_clusters(institutions, known=known)
+def _words(people: DataFrame, orgs: DataFrame) -> DataFrame:
+    return people.select(F.explode(F.concat(F.array("surname"), "forms")).alias("word")).union(orgs.select("place"))
 
 
-def _clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    comp = connected_components(edges, "x", "y")
-    return rows.select("id").join(comp, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("cluster"))
+def all_clusters(authors: DataFrame, institutions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``author_clusters`` and ``institution_clusters``, with the words and the organisations of both compared once."""
+    people, rows = author_rows(authors), institution_rows(institutions)
+    names = parsed_people(people)
+    parsed = parsed_organisations(people.select(F.explode("orgs").alias("name")).union(rows.select("name")))
+    similar = similar_words(_words(names, parsed))
+    known = organisations(parsed, similar, rows)
+    return _author_clusters(people, names, known, similar), _institution_clusters(rows, known)
