@@ -44,10 +44,27 @@ def _string(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", _get(v, "$", "string"))
 
 
-def _unwrapped(v: Column) -> Column:
-    """The record out of one envelope: a result list, a data member, or JSON in a string."""
-    return F.coalesce(_object(v, "$.results[0]"), _object(v, "$.data.work"),
-                      F.try_parse_json(_get(v, "$.payload", "string")), v)
+def _payload(v: Column) -> Column:
+    return F.try_parse_json(_get(v, "$.payload", "string"))
+
+
+def _opened(v: Column) -> Column:
+    """The records in one envelope, an array of variants: all objects of a result list, a data member, or JSON in a string;
+    what is in no envelope is its own only record."""
+    results = F.filter(_get(v, "$.results", "array<variant>"), lambda x: _get(x, "$", "map<string,variant>").isNotNull())
+    return F.when(F.size(results) > 0, results).otherwise(F.array(F.coalesce(_object(v, "$.data.work"), _payload(v), v)))
+
+
+def _enveloped(v: Column) -> Column:
+    return (F.coalesce(F.exists(_get(v, "$.results", "array<variant>"), lambda x: _get(x, "$", "map<string,variant>").isNotNull()), F.lit(False))
+            | _object(v, "$.data.work").isNotNull() | _payload(v).isNotNull())
+
+
+def _records(v: Column, depth: int) -> Column:
+    """All records inside up to ``depth`` envelopes, in order."""
+    inside = F.reduce(F.sequence(F.lit(1), F.lit(depth)), F.array(v), lambda acc, _: F.when(
+        F.exists(acc, _enveloped), F.flatten(F.transform(acc, _opened))).otherwise(acc))
+    return F.when(_enveloped(v), inside).otherwise(F.array(v))
 
 
 def _once(c: Column) -> Column:
@@ -111,14 +128,22 @@ def _children(v: Column) -> dict[str, Column]:
     return {"institution": institutions, "reference": references, "topic": topics, "location": place}
 
 
-def parsed(raw: DataFrame, record_id: str = "record_id", payload: str = "payload", depth: int = 2) -> DataFrame:
-    """``(record_id, v)``: one variant per distinct record with valid JSON, out of up to ``depth`` envelopes."""
+def parsed(raw: DataFrame, record_id: str = "record_id", payload: str = "payload", depth: int = 16) -> DataFrame:
+    """``(record_id, result, v)``: a variant for each record inside each distinct row of valid JSON.
+
+    A payload may wrap its records in up to ``depth`` envelopes (``still_wrapped`` lists those with more) and a result
+    list may hold several; ``result`` is the place of the record among them, from 1.
+    """
     df = (raw.select(F.col(record_id).alias("record_id"), F.col(payload).alias("payload"))
           .where("payload is not null").dropDuplicates(["record_id", "payload"])
           .select("record_id", _once(F.try_parse_json("payload")).alias("v")).where("v is not null"))
-    for _ in range(depth):
-        df = df.select("record_id", _once(_unwrapped(F.col("v"))).alias("v"))
-    return df
+    return (df.select("record_id", F.posexplode(_records(F.col("v"), depth)).alias("result", "v"))
+            .withColumn("result", (F.col("result") + 1).cast("bigint")))
+
+
+def still_wrapped(raw: DataFrame, record_id: str = "record_id", payload: str = "payload", depth: int = 16) -> DataFrame:
+    """``(record_id, result)`` of what is still in an envelope after ``depth`` of them were opened: the rejects of ``parsed``."""
+    return parsed(raw, record_id, payload, depth).where(_enveloped(F.col("v"))).select("record_id", "result")
 
 
 def child_rows(raw: DataFrame, record_id: str = "record_id", payload: str = "payload",
@@ -138,11 +163,12 @@ def child_rows(raw: DataFrame, record_id: str = "record_id", payload: str = "pay
 def flat_tables(raw: DataFrame, record_id: str = "record_id", payload: str = "payload") -> dict[str, DataFrame]:
     """Related flat tables: works, authors, institutions, references, topics, locations.
 
-    Children keep ``record_id`` and, for institutions, ``author_pos``, as links to their parents.
+    Children keep ``record_id`` with ``result``, the place of their record in its result list, and, for institutions,
+    ``author_pos``, as links to their parents.
     """
     base = parsed(raw, record_id, payload)
     v = F.col("v")
-    works = base.select("record_id", F.coalesce(*(_text(_get(v, p, "string")) for p in KEY)).alias("work_key"),
+    works = base.select("record_id", "result", F.coalesce(*(_text(_get(v, p, "string")) for p in KEY)).alias("work_key"),
                         _first(v, TITLE, "string").alias("title"),
                         F.try_to_date(_first(v, DATE, "string")).alias("publication_date"),
                         _first(v, CITED, "bigint").alias("cited_by_count"))
@@ -151,7 +177,7 @@ def flat_tables(raw: DataFrame, record_id: str = "record_id", payload: str = "pa
         F.coalesce(*(_get(a, p, "string") for p in ("$.author.display_name", "$.display_name", "$.name"))).alias("name"),
         bare(F.coalesce(*(_get(a, p, "string") for p in ("$.author.id", "$.id", "$.openalex")))).alias("openalex"),
         F.coalesce(*(_get(a, p, "string") for p in ("$.author.orcid", "$.orcid"))).alias("orcid"))
-    authors = base.select("record_id", F.inline(F.transform(items_of(v, AUTHORS), author)))
+    authors = base.select("record_id", "result", F.inline(F.transform(items_of(v, AUTHORS), author)))
     institution = lambda i, n, m: F.struct(
         (n + 1).cast("bigint").alias("author_pos"), (m + 1).cast("bigint").alias("pos"),
         bare_ror(_get(i, "$.ror", "string")).alias("ror"),
@@ -159,15 +185,15 @@ def flat_tables(raw: DataFrame, record_id: str = "record_id", payload: str = "pa
     nested = F.flatten(F.transform(items_of(v, AUTHORS), lambda a, n: F.coalesce(
         F.transform(items_of(a, ("$.institutions",)), lambda i, m: institution(i, n, m)),
         F.array().cast("array<struct<author_pos:bigint,pos:bigint,ror:string,name:string>>"))))
-    institutions = base.select("record_id", F.inline(nested))
-    references = base.select("record_id", F.inline(F.transform(reference_list(v), lambda r, n: F.struct(
+    institutions = base.select("record_id", "result", F.inline(nested))
+    references = base.select("record_id", "result", F.inline(F.transform(reference_list(v), lambda r, n: F.struct(
         (n + 1).cast("bigint").alias("pos"), bare(r).alias("work_id")))))
-    topics = base.select("record_id", F.inline(F.transform(items_of(v, TOPICS), lambda t, n: F.struct(
+    topics = base.select("record_id", "result", F.inline(F.transform(items_of(v, TOPICS), lambda t, n: F.struct(
         (n + 1).cast("bigint").alias("pos"), bare(F.coalesce(_get(t, "$.id", "string"), _string(t))).alias("topic_id"),
         F.coalesce(_get(t, "$.display_name", "string"), _get(t, "$.label", "string")).alias("label"),
         _get(t, "$.score", "double").alias("score")))))
     loc = F.coalesce(*(_object(v, p) for p in LOCATION))
-    locations = base.select("record_id", _source_id(loc).alias("source_id"),
+    locations = base.select("record_id", "result", _source_id(loc).alias("source_id"),
                             F.coalesce(_get(loc, "$.source.display_name", "string"),
                                        _get(loc, "$.source_name", "string")).alias("source_name"),
                             _text(_get(loc, "$.landing_page_url", "string")).alias("landing_page_url")

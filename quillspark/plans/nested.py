@@ -17,7 +17,7 @@ def p1_authors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_works(spark: SparkSession, d: str) -> DataFrame:
-    return flat_tables(table(spark, d, "raw_works"))["works"].select("record_id", "title", "cited_by_count")
+    return flat_tables(table(spark, d, "raw_works"))["works"]
 
 
 def p1_child_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -31,9 +31,11 @@ _WORK = r"""
     raw AS (SELECT DISTINCT record_id, payload FROM raw_works WHERE json_valid(payload)),
     inner_ AS (SELECT record_id, CASE WHEN json_type(payload, '$.payload') = 'VARCHAR' AND json_valid(payload ->> '$.payload')
                                       THEN (payload ->> '$.payload')::JSON ELSE payload::JSON END AS p FROM raw),
-    work AS (SELECT record_id, CASE WHEN json_type(p, '$.results[0]') = 'OBJECT' THEN p -> '$.results[0]'
-                                    WHEN json_type(p, '$.data.work') = 'OBJECT' THEN p -> '$.data.work' ELSE p END AS w FROM inner_),
-    listed AS (SELECT record_id,
+    opened AS (SELECT record_id, CASE WHEN json_type(p, '$.results') = 'ARRAY' AND len(list_filter(json_extract(p, '$.results[*]'), lambda x: json_type(x) = 'OBJECT')) > 0
+                                           THEN list_filter(json_extract(p, '$.results[*]'), lambda x: json_type(x) = 'OBJECT')
+                                      WHEN json_type(p, '$.data.work') = 'OBJECT' THEN [p -> '$.data.work'] ELSE [p] END AS l FROM inner_),
+    work AS (SELECT record_id, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS result FROM opened),
+    listed AS (SELECT record_id, result,
         CASE WHEN json_type(w, '$.authors') = 'ARRAY' THEN w -> '$.authors' WHEN json_type(w, '$.authorships') = 'ARRAY'
              THEN w -> '$.authorships' WHEN json_type(w, '$.bibliography.authors') = 'ARRAY' THEN w -> '$.bibliography.authors' END AS authors,
         CASE WHEN json_type(w, '$.topics') = 'ARRAY' THEN w -> '$.topics' WHEN json_type(w, '$.entities.topics') = 'ARRAY'
@@ -44,7 +46,7 @@ _WORK = r"""
              WHEN json_type(w, '$.bibliography.primary_location') = 'OBJECT' THEN w -> '$.bibliography.primary_location' END AS loc,
         w FROM work)"""
 _ITEMS = r"""
-    author AS (SELECT record_id, unnest(authors -> '$[*]') AS a, unnest(range(1, json_array_length(authors)::BIGINT + 1)) AS author_pos FROM listed
+    author AS (SELECT record_id, result, unnest(authors -> '$[*]') AS a, unnest(range(1, json_array_length(authors)::BIGINT + 1)) AS author_pos FROM listed
                WHERE authors IS NOT NULL),
     inst_list AS (SELECT record_id, author_pos, CASE json_type(a, '$.institutions') WHEN 'ARRAY' THEN a -> '$.institutions[*]'
                          WHEN 'OBJECT' THEN [a -> '$.institutions'] END AS l FROM author),
@@ -72,10 +74,12 @@ SQL = {
     "p1_found": f"WITH {_WORK}, {_ITEMS} SELECT record_id, child, author_pos::BIGINT AS author_pos, pos::BIGINT AS pos, child_key FROM child WHERE child_key IS NOT NULL",
     "p1_child_counts": f"WITH {_WORK}, {_ITEMS} SELECT child, count(*) AS children, count(DISTINCT record_id) AS records FROM child "
                        "WHERE child_key IS NOT NULL GROUP BY child",
-    "p1_authors": f"""WITH {_WORK}, {_ITEMS} SELECT record_id, author_pos::BIGINT AS author_pos,
+    "p1_authors": f"""WITH {_WORK}, {_ITEMS} SELECT record_id, result, author_pos::BIGINT AS author_pos,
         coalesce(a ->> '$.author.display_name', a ->> '$.display_name', a ->> '$.name') AS name,
         nullif(upper(regexp_replace(coalesce(a ->> '$.author.id', a ->> '$.id', a ->> '$.openalex'), '^.*[/:]', '')), '') AS openalex,
         coalesce(a ->> '$.author.orcid', a ->> '$.orcid') AS orcid FROM author""",
-    "p1_works": f"""WITH {_WORK} SELECT record_id, coalesce(w ->> '$.display_name', w ->> '$.title', w ->> '$.bibliography.title') AS title,
+    "p1_works": f"""WITH {_WORK} SELECT record_id, result, coalesce(nullif(trim(w ->> '$.id'), ''), nullif(trim(w ->> '$.work_key'), '')) AS work_key,
+        coalesce(w ->> '$.display_name', w ->> '$.title', w ->> '$.bibliography.title') AS title,
+        try_cast(coalesce(w ->> '$.publication_date', w ->> '$.bibliography.publication_date') AS DATE) AS publication_date,
         coalesce(w ->> '$.cited_by_count', w ->> '$.bibliography.cited_by_count')::BIGINT AS cited_by_count FROM work""",
 }

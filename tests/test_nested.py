@@ -1,6 +1,6 @@
 import json
 
-from quillspark.operators.nested import child_rows, flat_tables
+from quillspark.operators.nested import child_rows, flat_tables, still_wrapped
 
 FULL = {"id": "https://works.example/W1", "display_name": "T", "publication_date": "2026-01-02", "cited_by_count": 3,
         "authorships": [{"author": {"id": "A1", "display_name": "X"}, "institutions": [{"ror": "https://r.example/9a/"}, {"ror": None, "display_name": None},
@@ -53,3 +53,15 @@ def test_flat_tables_keep_parents(spark):
     assert [(r.author_pos, r.openalex) for r in t["authors"].orderBy("author_pos").collect()] == [(1, "A1"), (2, "A2"), (3, None)]
     assert {(r.author_pos, r.pos) for r in t["institutions"].collect()} == {(1, 1), (1, 2), (1, 3), (2, 1)}
     assert t["references"].count() == 5 and t["topics"].count() == 3 and t["locations"].first()["source_id"] == "S9"
+
+
+def test_result_lists_and_many_envelopes(spark):
+    three = json.dumps({"results": [FULL, {"topics": ["T7"]}, 5, {"data": {"work": {"topics": ["T8"]}}}]})
+    four = json.dumps({"payload": json.dumps({"data": {"work": {"payload": json.dumps({"results": [FULL]})}}})})
+    got = rows(spark, [three, four])
+    assert {r[1:] for r in got if r[0] == 0} == EXPECTED | {("topic", 0, 1, "T7"), ("topic", 0, 1, "T8")}
+    assert {r[1:] for r in got if r[0] == 1} == EXPECTED
+    df = spark.createDataFrame([(0, three), (1, four), (2, None), (3, "{")], "record_id long, payload string")
+    works = flat_tables(df)["works"].select("record_id", "result").collect()
+    assert sorted(map(tuple, works)) == [(0, 1), (0, 2), (0, 3), (1, 1)]
+    assert still_wrapped(df).count() == 0 and [tuple(r) for r in still_wrapped(df, depth=2).collect()] == [(1, 1)]
