@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillspark.durable import save
+
 
 def reference_edges(works: DataFrame, key: str, refs: str, *carry: str) -> DataFrame:
     """One row per distinct (work, reference), with the columns in ``carry``."""
@@ -13,20 +15,29 @@ def reference_edges(works: DataFrame, key: str, refs: str, *carry: str) -> DataF
 def coupling(edges: DataFrame, key: str, ref: str, date: str, min_shared: int = 3, window_days: int | None = 90) -> DataFrame:
     """``(a, b, shared, jaccard, date)``: pairs of works that share references.
 
-    Works with fewer than ``min_shared`` references can't reach it and are dropped before the join. ``a`` is the
-    earlier work (the smaller key on one date); both dates lie within ``window_days`` of each other, ends included.
-    Edges must be distinct. Null keys, references and dates are ignored. The self-join is on the reference; a
-    reference cited by very many works is the hot key, which adaptive execution splits.
+    ``a`` is the earlier work (the smaller key on one date); both dates lie within ``window_days`` of each other, ends
+    included. Edges must be distinct; a work has one date, of several the first. Null keys, references and dates are ignored.
+
+    An exact prefix filter: a work's references stand in one order for all works, the rarest first. Two works that share
+    ``min_shared`` of them share one that is not among the last ``min_shared - 1`` of either, so those, the works cited by
+    everyone, are no join keys. The key also holds the date in steps of the window. Pairs are then verified on whole lists.
     """
     e = edges.select(F.col(key).alias("k"), F.col(ref).alias("r"), F.col(date).alias("d")).where("k is not null and r is not null and d is not null")
-    n = e.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") >= min_shared)
-    e = e.join(n, "k")
-    x, y = e.alias("x"), e.alias("y")
-    near = F.lit(True) if window_days is None else F.abs(F.datediff("x.d", "y.d")) <= window_days
-    pairs = x.join(y, (F.col("x.r") == F.col("y.r")) & near & ((F.col("x.d") < F.col("y.d")) | ((F.col("x.d") == F.col("y.d")) & (F.col("x.k") < F.col("y.k")))))
-    return (pairs.groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.col("y.d").alias("date"))
-            .agg(F.count("*").alias("shared")).where(F.col("shared") >= min_shared)
-            .select("a", "b", "shared", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("jaccard"), "date"))
+    f = e.groupBy("r").agg(F.count("*").alias("f"))
+    listed = F.array_sort(F.collect_list(F.struct("f", "r")))
+    works = e.join(f, "r").groupBy("k").agg(F.min("d").alias("d"), F.transform(listed, lambda x: x["r"]).alias("refs"))
+    works = save(works.where(F.size("refs") >= min_shared).withColumn("n", F.size("refs")))
+    rare = F.explode(F.slice("refs", F.lit(1), F.col("n") - (min_shared - 1))).alias("r")
+    step = F.lit(0) if window_days is None else F.floor(F.unix_date(F.col("d").cast("date")) / max(window_days, 1))
+    x = works.select(F.col("k").alias("a"), F.col("d").alias("da"), F.array_distinct(F.array(step, step if window_days is None else step + 1)).alias("s"), rare)
+    x = x.select("a", "da", "r", F.explode("s").alias("s"))
+    y = works.select(F.col("k").alias("b"), F.col("d").alias("db"), step.alias("s"), rare)
+    near = F.lit(True) if window_days is None else F.datediff("db", "da") <= window_days
+    met = x.join(y, ["r", "s"]).where(near & ((F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b"))))).select("a", "b").distinct()
+    left = works.select(F.col("k").alias("a"), F.col("refs").alias("ra"))
+    right = works.select(F.col("k").alias("b"), F.col("refs").alias("rb"), F.col("d").alias("date"))
+    return (met.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("ra", "rb")).cast("bigint")).where(F.col("shared") >= min_shared)
+            .select("a", "b", "shared", F.round(F.col("shared") / (F.size("ra") + F.size("rb") - F.col("shared")), 6).alias("jaccard"), "date"))
 
 
 def neighbours(pairs: DataFrame, k: int = 3) -> DataFrame:
