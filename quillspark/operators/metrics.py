@@ -7,15 +7,49 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from quillspark.durable import save
 
-def nearest_rank(values: Column, q: float) -> Column:
-    """Of a sorted array the value at place int(q (n - 1) + 0.5)."""
-    return F.get(values, F.floor(F.lit(q) * (F.size(values) - 1) + 0.5).cast("int"))
 
+def nearest(q: float):
+    """The place, from 0, of a nearest-rank quantile among n sorted values: int(q (n - 1) + 0.5)."""
+    return lambda n: F.floor(F.lit(q) * (n - 1) + 0.5)
 
-def upper_median(values: Column) -> Column:
-    """Of a sorted array the value at place n div 2."""
-    return F.get(values, F.floor(F.size(values) / 2).cast("int"))
+
+def upper_half(n: Column) -> Column:
+    """The place, from 0, of the upper median: n div 2."""
+    return F.floor(n / 2)
+
+
+def cumulated(counts: DataFrame, by: list[str], order: Column, n: str) -> DataFrame:
+    """Adds ``before``, the sum of ``n`` over the rows of a group that come before this one in ``order`` (no ties), and
+    ``all_``, that over the group.
+
+    In two levels, so that no task holds a group: ranges of (group, order) sorted and written to the shared folder,
+    the sums of each group in each range, and within a range a window. Runs a job.
+    """
+    keys = [F.col(c) for c in by]
+    x = save(counts.repartitionByRange(*keys, order).withColumn("_p", F.spark_partition_id()))
+    parts = x.groupBy(*by, "_p").agg(F.sum(n).alias("_s"))
+    w = Window.partitionBy(*by)
+    run = w.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*(F.col(c).alias("_k" + c) for c in by), F.col("_p").alias("_q"), F.coalesce(F.sum("_s").over(run), F.lit(0)).alias("_ahead"), F.sum("_s").over(w).alias("all_"))
+    on = F.col("_p") == F.col("_q")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col("_k" + c))
+    inner = Window.partitionBy("_p", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (x.join(parts, on).withColumn("before", F.col("_ahead") + F.coalesce(F.sum(n).over(inner), F.lit(0)))
+            .drop("_p", "_q", "_ahead", *("_k" + c for c in by)))
+
+
+def values_at(df: DataFrame, by: list[str], value: str, at: dict) -> DataFrame:
+    """One row a group with the values at given places of its sorted values; ``at`` maps a name to the place by their number.
+
+    Null values don't count. Values are counted first, so a group is never collected.
+    """
+    c = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    x = cumulated(c, by, F.col(value).asc(), "_n")
+    here = lambda f: (F.col("before") <= f(F.col("all_"))) & (f(F.col("all_")) < F.col("before") + F.col("_n"))
+    return x.groupBy(*by).agg(*(F.max(F.when(here(f), F.col(value))).alias(k) for k, f in at.items()))
 
 
 def precision_at_k(judged: DataFrame, day: str, rank: str, keep: str, k: int = 10, coverage: int = 8, by: list[str] | None = None) -> DataFrame:
@@ -58,20 +92,22 @@ def calibration(tops: DataFrame, value: str, low: float = 0.3, high: float = 0.5
     """``(value, rate, chosen)``: for each distinct daily best its share of days at or above it; chosen is the value
     whose rate is in the band and nearest to its middle, the smaller of two."""
     v = tops.groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("value"))
-    rates = v.withColumn("rate", F.sum("n").over(w) / F.sum("n").over(Window.partitionBy()))
-    order = Window.orderBy(F.when((F.col("rate") >= low) & (F.col("rate") <= high), 0).otherwise(1), F.round(F.abs(F.col("rate") - (low + high) / 2), 9), "value")
-    return rates.withColumn("chosen", F.row_number().over(order) == 1).select("value", F.round("rate", 6).alias("rate"), "chosen")
+    rates = cumulated(v, [], F.col("value").desc(), "n").withColumn("rate", (F.col("before") + F.col("n")) / F.col("all_"))
+    order = F.struct(F.when((F.col("rate") >= low) & (F.col("rate") <= high), 0).otherwise(1), F.round(F.abs(F.col("rate") - (low + high) / 2), 9), F.col("value"))
+    best = rates.agg(F.min_by("value", order).alias("best"))
+    return rates.crossJoin(F.broadcast(best)).select("value", F.round("rate", 6).alias("rate"), F.col("value").eqNullSafe(F.col("best")).alias("chosen"))
 
 
 def spearman(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """``(rho, n)`` of two rankings ``(key, rank)``; a key that one lacks takes the place after its last."""
+    """``(rho, n)`` of two rankings ``(key, rank)``; a key that one lacks takes the place after its last. Ties share their mean place."""
     na, nb = a.agg(F.max("rank").alias("na")), b.agg(F.max("rank").alias("nb"))
     j = (a.select(key, F.col("rank").alias("ra")).join(b.select(key, F.col("rank").alias("rb")), key, "full")
          .crossJoin(F.broadcast(na)).crossJoin(F.broadcast(nb))
          .select(key, F.coalesce("ra", F.col("na") + 1).alias("ra"), F.coalesce("rb", F.col("nb") + 1).alias("rb")))
-    avg = lambda c: F.rank().over(Window.orderBy(c)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2
-    return j.withColumn("x", avg("ra")).withColumn("y", avg("rb")).agg(F.round(F.corr("x", "y"), 6).alias("rho"), F.count("*").alias("n"))
+    for c, name in (("ra", "x"), ("rb", "y")):
+        place = cumulated(j.groupBy(c).agg(F.count("*").alias("k")), [], F.col(c).asc(), "k").select(c, (F.col("before") + (F.col("k") + 1) / 2).alias(name))
+        j = j.join(place, c)
+    return j.agg(F.round(F.corr("x", "y"), 6).alias("rho"), F.count("*").alias("n"))
 
 
 @F.pandas_udf(T.DoubleType())

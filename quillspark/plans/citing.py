@@ -78,16 +78,8 @@ def a4_decayed_citations(spark, d):
 
 
 @query(f"{PR}, c AS (SELECT ref, count(*) AS demand FROM r GROUP BY ref), own AS (SELECT DISTINCT {_OWN} AS ref FROM p WHERE openalex IS NOT NULL) "
-       "SELECT ref, demand, row_number() OVER (ORDER BY demand DESC, ref) AS place FROM c WHERE ref NOT IN (SELECT ref FROM own WHERE ref IS NOT NULL) QUALIFY place <= 200")
+       "SELECT ref, demand, row_number() OVER (ORDER BY demand DESC, ref) AS place FROM c WHERE ref NOT IN (SELECT ref FROM own WHERE ref IS NOT NULL)")
 def a5_demand_queue(spark, d):
-    """The first 200 of ``a5_whole_queue``, as the SQL states."""
-    own = papers(spark, d).select(bare_segment(F.col("openalex")).alias("ref")).where("ref is not null").distinct()
-    top = refs(spark, d).groupBy("ref").agg(F.count("*").alias("demand")).join(own, "ref", "left_anti").orderBy(F.desc("demand"), "ref").limit(200)
-    return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("demand"), "ref")).cast("bigint"))
-
-
-@query()
-def a5_whole_queue(spark, d):
     """Every reference that no record stands for, by demand and id."""
     return demand_queue(refs(spark, d), papers(spark, d).select(bare_segment(F.col("openalex")).alias("ref")))
 
@@ -171,23 +163,12 @@ def w4_first_meetings(spark, d):
 
 @query()
 def a9_betweenness(spark, d):
-    return G.betweenness(G.projection(topics(spark, d), "item_id", "topic").where("weight >= 2"))
-
-
-@query(f"""{PR}, a AS (SELECT DISTINCT item_id, upper(regexp_extract(a.openalex, '([^/:]+)$', 1)) AS person FROM (SELECT item_id, unnest(authors) AS a FROM p)
-   WHERE a.openalex IS NOT NULL), x AS (SELECT DISTINCT a.person, r.ref FROM a JOIN r ON a.item_id = r.item_id
-   WHERE r.ref IN (SELECT ref FROM r GROUP BY ref HAVING count(*) <= 20))
-SELECT u.person AS a, v.person AS b, count(*) AS weight FROM x u JOIN x v ON u.ref = v.ref AND u.person < v.person GROUP BY 1, 2 HAVING count(*) >= 3""")
-def a7_researchers_sharing_references(spark, d):
-    """The part of ``a7_researcher_projection`` that the SQL states: references of at most 20 records, pairs that share three or more."""
-    rare = refs(spark, d).groupBy("ref").agg(F.count("*").alias("n")).where("n <= 20").select("ref")
-    people = (papers(spark, d).select("item_id", F.explode("authors").alias("a")).where("a.openalex is not null")
-              .select("item_id", bare_segment(F.col("a.openalex")).alias("person")).distinct())
-    x = people.join(refs(spark, d).join(rare, "ref", "left_semi"), "item_id").select("person", "ref").distinct()
-    return G.projection(x, "ref", "person").where("weight >= 3")
+    return G.betweenness(G.projection(topics(spark, d), "item_id", "topic"))
 
 
-@query()
+@query(f"""{PR}, a AS (SELECT DISTINCT item_id, nullif(upper(regexp_extract(trim(a.openalex), '([^/:\\s]+)/*$', 1)), '') AS person FROM (SELECT item_id, unnest(authors) AS a FROM p)),
+  x AS (SELECT DISTINCT a.person, r.ref FROM a JOIN r ON a.item_id = r.item_id WHERE a.person IS NOT NULL)
+SELECT u.person AS a, v.person AS b, count(*) AS weight FROM x u JOIN x v ON u.ref = v.ref AND u.person < v.person GROUP BY 1, 2""")
 def a7_researcher_projection(spark, d):
     """All pairs of researchers that share a reference, with the number of references shared."""
     return researcher_projection(papers(spark, d))
@@ -203,9 +184,9 @@ def researcher_projection(works):
   UNION ALL SELECT 'person', upper(regexp_extract(a.openalex, '([^/:]+)$', 1)), a.name, item_id, day FROM (SELECT item_id, day, unnest(authors) AS a FROM p) WHERE a.openalex IS NOT NULL
   UNION ALL SELECT 'org', regexp_extract(rtrim(i.ror, '/'), '([^/]+)$', 1), i.name, item_id, day FROM (SELECT item_id, day, unnest(a.institutions) AS i FROM
      (SELECT item_id, day, unnest(authors) AS a FROM p)) WHERE i.ror IS NOT NULL)
-SELECT facet, id, count(*) AS mentions, min(day) AS first_seen, max(day) AS last_seen FROM e GROUP BY facet, id""")
+SELECT facet, id, first(label ORDER BY day NULLS LAST, item_id, label) FILTER (WHERE label IS NOT NULL) AS label, count(*) AS mentions, min(day) AS first_seen, max(day) AS last_seen FROM e GROUP BY facet, id""")
 def a3_entity_nodes(spark, d):
-    return G.node_rollup(mentions(spark, d), "facet", "id", "label", "day", "item_id").drop("label")
+    return G.node_rollup(mentions(spark, d), "facet", "id", "label", "day", "item_id")
 
 
 def mentions(spark, d):
@@ -253,16 +234,10 @@ def j14_clusters(spark, d):
     return x.select("a", "b", "shared", (F.coalesce("na", F.lit(False)) & F.coalesce("nb", F.lit(False))).alias("both_new"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_quantity >= 50),
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
   g AS (SELECT DISTINCT x.s AS u, y.s AS v FROM e x JOIN e y ON x.p = y.p), reach AS (SELECT u, v FROM g UNION SELECT r.u, g.v FROM reach r JOIN g ON r.v = g.u)
 SELECT u AS node, min(v) AS component FROM reach GROUP BY u HAVING count(*) > 1""")
 def j3_components(spark, d):
-    """Suppliers joined by the parts in lines of quantity 50 or more: the part of ``j3_all_components`` that the SQL states."""
-    return supplier_components(table(spark, d, "lineitem").where("l_quantity >= 50"))
-
-
-@query()
-def j3_all_components(spark, d):
     """Suppliers joined by common parts, directly or through others, over all lines."""
     return supplier_components(table(spark, d, "lineitem"))
 
@@ -273,10 +248,12 @@ def supplier_components(lines):
     return connected_components(e.join(low, "l_partkey"), "l_suppkey", "low")
 
 
-@query(f"{PR} SELECT x.item_id, count(*) AS in_degree FROM (SELECT DISTINCT item_id, {_OWN} AS ref FROM p) x JOIN r ON r.ref = x.ref AND r.item_id <> x.item_id GROUP BY x.item_id")
+@query(f"{PR}, c AS (SELECT x.item_id, count(*) AS in_degree FROM (SELECT DISTINCT item_id, {_OWN} AS ref FROM p) x JOIN r ON r.ref = x.ref AND r.item_id <> x.item_id GROUP BY x.item_id) "
+       "SELECT item_id, in_degree, row_number() OVER (ORDER BY in_degree DESC, item_id) AS place FROM c")
 def a40_degree_ranking(spark, d):
     own = papers(spark, d).select(F.col("item_id").alias("own"), bare_segment(F.col("openalex")).alias("ref")).where("ref is not null")
-    return refs(spark, d).join(own, "ref").where("item_id <> own").groupBy(F.col("own").alias("item_id")).agg(F.count("*").alias("in_degree"))
+    c = refs(spark, d).join(own, "ref").where("item_id <> own").groupBy(F.col("own").alias("item_id")).agg(F.count("*").alias("in_degree"))
+    return K.places(c, [F.desc("in_degree"), F.asc("item_id")])
 
 
 @query(f"""{PR}, n AS (SELECT p.item_id, coalesce(source_name, 'unknown') AS bucket, count(r.ref) AS refs FROM p LEFT JOIN r ON r.item_id = p.item_id GROUP BY 1, 2)

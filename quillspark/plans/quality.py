@@ -43,13 +43,15 @@ def w6_precision_by_depth(spark, d):
     return x.groupBy(F.col("rank").alias("depth")).agg(F.round(F.avg("p"), 6).alias("precision"), F.count("*").alias("raters"))
 
 
-_BANDS = "(VALUES (0, 800), (800, 1200), (1200, 1800), (1800, 1000000)) b(lo, hi)"
+_BANDS = "(VALUES (0, 800), (800, 1200), (1200, 1800), (1800, NULL)) b(lo, hi)"
 
 
-@query(f"WITH {_J} SELECT lo, hi, count(*) AS n, round(avg(keep::INT), 6) AS keep_rate FROM j JOIN {_BANDS} ON n_chars >= lo AND n_chars < hi GROUP BY lo, hi")
+@query(f"WITH {_J} SELECT lo, hi, count(*) AS n, round(avg(keep::INT), 6) AS keep_rate FROM j JOIN {_BANDS} ON n_chars >= lo AND (hi IS NULL OR n_chars < hi) GROUP BY lo, hi")
 def a50_score_bands(spark, d):
-    b = spark.createDataFrame([(0, 800), (800, 1200), (1200, 1800), (1800, 1000000)], "lo int, hi int")
-    return (judged(spark, d).join(F.broadcast(b), (F.col("n_chars") >= F.col("lo")) & (F.col("n_chars") < F.col("hi"))).groupBy("lo", "hi")
+    cuts = [0, 800, 1200, 1800, None]
+    c = F.col("n_chars")
+    band = F.coalesce(*(F.when((c >= lo) & (F.lit(True) if hi is None else c < hi), F.struct(F.lit(lo).alias("lo"), F.lit(hi).cast("int").alias("hi"))) for lo, hi in zip(cuts, cuts[1:])))
+    return (judged(spark, d).withColumn("b", band).where("b is not null").groupBy("b.lo", "b.hi")
             .agg(F.count("*").alias("n"), F.round(F.avg(F.col("keep").cast("int")), 6).alias("keep_rate")))
 
 
@@ -94,19 +96,20 @@ def a48_fisher(spark, d):
 @query(f"WITH {_J} SELECT rater, round(quantile_cont(n_chars, 0.25), 4) AS q1, round(quantile_cont(n_chars, 0.5), 4) AS q2, round(quantile_cont(n_chars, 0.75), 4) AS q3, "
        "list_sort(list(n_chars))[(len(list(n_chars)) // 2 + 1)] AS upper_median, list_sort(list(n_chars))[(floor(0.9 * (count(*) - 1) + 0.5) + 1)::BIGINT] AS p90 FROM j GROUP BY rater")
 def s34_s35_quantiles(spark, d):
-    v = F.array_sort(F.collect_list("n_chars"))
-    g = judged(spark, d).groupBy("rater").agg(F.percentile("n_chars", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), v.alias("v"))
-    return g.select("rater", *(F.round(F.get("q", i), 4).alias(f"q{i + 1}") for i in range(3)), M.upper_median(F.col("v")).alias("upper_median"),
-                    M.nearest_rank(F.col("v"), 0.9).alias("p90"))
+    j = judged(spark, d)
+    g = j.groupBy("rater").agg(F.percentile("n_chars", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    places = M.values_at(j, ["rater"], "n_chars", {"upper_median": M.upper_half, "p90": M.nearest(0.9)})
+    return g.join(places, "rater").select("rater", *(F.round(F.get("q", i), 4).alias(f"q{i + 1}") for i in range(3)), "upper_median", "p90")
 
 
 _DAYS = """s AS (SELECT unnest(range(min(ts)::DATE::TIMESTAMP, max(ts)::DATE::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS day FROM events),
-  c AS (SELECT ts::DATE AS day, count(*) AS n FROM events WHERE value > 50 GROUP BY 1), f AS (SELECT s.day, coalesce(c.n, 0) AS n FROM s LEFT JOIN c ON c.day = s.day)"""
+  c AS (SELECT ts::DATE AS day, count(*) AS n FROM events GROUP BY 1), f AS (SELECT s.day, coalesce(c.n, 0) AS n FROM s LEFT JOIN c ON c.day = s.day)"""
 
 
 def daily(spark, d):
+    """Events of every day between the first and the last, 0 where there are none."""
     e = table(spark, d, "events")
-    c = e.where("value > 50").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    c = e.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
     return K.day_spine(e, "ts").join(c, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -169,9 +172,9 @@ SELECT collector, count(*) AS n, list_sort(list(lag))[(floor(0.5 * (count(*) - 1
   count(*) FILTER (WHERE lag < 0) AS negative, round(avg(CASE WHEN lag <= 7 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS within_week FROM x GROUP BY collector""")
 def a37_lags(spark, d):
     x = papers(spark, d).where("day is not null").select(F.get("collectors", 0).alias("collector"), F.datediff(F.col("collected_at").cast("date"), "day").cast("bigint").alias("lag"))
-    g = x.groupBy("collector").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("lag")).alias("v"), F.count_if(F.col("lag") < 0).alias("negative"),
-                                   F.round(F.avg(F.when(F.col("lag") <= 7, 1.0).otherwise(0.0)), 6).alias("within_week"))
-    return g.select("collector", "n", M.nearest_rank(F.col("v"), 0.5).alias("p50"), M.nearest_rank(F.col("v"), 0.9).alias("p90"), "negative", "within_week")
+    g = x.groupBy("collector").agg(F.count("*").alias("n"), F.count_if(F.col("lag") < 0).alias("negative"), F.round(F.avg(F.when(F.col("lag") <= 7, 1.0).otherwise(0.0)), 6).alias("within_week"))
+    places = M.values_at(x, ["collector"], "lag", {"p50": M.nearest(0.5), "p90": M.nearest(0.9)})
+    return g.join(places.withColumnRenamed("collector", "c"), F.col("collector").eqNullSafe(F.col("c")), "left").select("collector", "n", "p50", "p90", "negative", "within_week")
 
 
 @query(PP + """, n AS (SELECT source_id, count(*) AS n FROM p WHERE source_id IS NOT NULL GROUP BY 1), x AS (SELECT *, row_number() OVER (ORDER BY n DESC, source_id) AS rn FROM n)
@@ -255,11 +258,14 @@ def u5_vector_norms(spark, d):
 SELECT vec_id, label, round(dot / (a * b), 4) AS cosine FROM c""")
 def u5_leave_one_out_cosine(spark, d):
     """Cosine of each vector with the mean of the others of its label."""
-    e = table(spark, d, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    s = e.groupBy("label", "i").agg(F.sum("x").alias("s"), F.count("*").alias("n"))
-    rest = F.col("s") - F.col("x")
-    c = e.join(F.broadcast(s), ["label", "i"]).where("n > 1").groupBy("vec_id", "label").agg(F.sum(F.col("x") * rest).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("a"), F.sqrt(F.sum(rest * rest)).alias("b"))
-    return c.select("vec_id", "label", F.round(F.col("dot") / (F.col("a") * F.col("b")), 4).alias("cosine"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    e = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    s = e.groupBy("label").agg(vector_to_array(Summarizer.sum(array_to_vector(F.col("x")))).alias("s"), F.count("*").alias("n")).where("n > 1")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+    c = e.join(s, "label").withColumn("rest", F.zip_with("s", "x", lambda a, b: a - b))
+    return c.select("vec_id", "label", F.round(dot("x", "rest") / F.sqrt(dot("x", "x") * dot("rest", "rest")), 4).alias("cosine"))
 
 
 @query()

@@ -128,10 +128,10 @@ def s36_singular(spark, d):
 
 
 @query(r"""WITH n AS (SELECT DISTINCT display_name AS name FROM authors WHERE display_name IS NOT NULL)
-SELECT CASE WHEN regexp_matches(name, '[^\x00-\x7F]') THEN 'diacritic' ELSE 'ascii' END AS script, count(*) AS names FROM n GROUP BY 1""")
+SELECT CASE WHEN regexp_matches(regexp_replace(name, '\p{Latin}', '', 'g'), '\p{L}') THEN 'non_latin' WHEN regexp_matches(name, '[^\x00-\x7F]') THEN 'diacritic' ELSE 'ascii' END AS script, count(*) AS names FROM n GROUP BY 1""")
 def s38_scripts(spark, d):
     n = table(spark, d, "authors").where("display_name is not null").select("display_name").distinct()
-    return n.groupBy(F.regexp_replace(T.script_of(F.col("display_name")), "non_latin", "diacritic").alias("script")).agg(F.count("*").alias("names"))
+    return n.groupBy(T.script_of(F.col("display_name")).alias("script")).agg(F.count("*").alias("names"))
 
 
 @query(PP + r""" SELECT item_id, regexp_replace(work_key, '[\\/:*?"<>|\s]', '_', 'g') AS file, substr(sha1(concat_ws(chr(0), work_key, state)), 1, 10) AS digest, sha256(work_key) AS full_hash FROM p""")
