@@ -248,7 +248,8 @@ def _orgs(batches):
 
 #: Edits that similar words may differ by, by their length; equal words always count.
 SURNAME = "edits <= case when least(length(a), length(b)) >= 8 then 2 when least(length(a), length(b)) >= 5 then 1 else 0 end"
-GIVEN = "edits = 0 or least(length(a), length(b)) >= 4"
+GIVEN = ("edits = 0 or (least(length(a), length(b)) >= 4 and (edits = 1 or least(length(a), length(b)) >= 7 "
+         "or array_sort(split(a, '')) = array_sort(split(b, ''))))")
 PLACE = "edits = 0 or (edits <= if(least(length(a), length(b)) >= 8, 2, 1) and least(length(a), length(b)) >= 4)"
 
 
