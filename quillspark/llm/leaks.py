@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from quillspark.durable import save
 from quillspark.llm.kernels import Words, folded, slices
 
 #: The set of grams a scan may broadcast. Larger test sets are scanned in several passes.
@@ -128,14 +129,15 @@ def scan(batches, tests: GramSet, least: int, gap: int, share: float, hits: int)
 
 def leaked(documents: DataFrame, tests: DataFrame, doc_id: str = "doc_id", text: str = "text",
            eval_id: str = "eval_id", eval_text: str = "text", n: int = 5, least: int = 20, gap: int = 4,
-           share: float = 0.75, hits: int = 6) -> DataFrame:
+           share: float = 0.75, hits: int = 6,
+           max_grams: int = MAX_GRAMS) -> DataFrame:
     """``(doc_id, eval_id, first_word, words, matched)``: the test items whose passages stand in a document.
 
     A piece of at least ``least`` words (or the whole of a shorter passage of n words or more) counts if
     ``share`` of its words match and no more than ``gap`` words in a row differ. Case, accents, punctuation,
     layout and markup make no difference. Null or empty texts and ids give no rows; identical rows count
     once; other columns are ignored. The tests are held-out material of bounded size: their grams are
-    counted first, and sets above ``MAX_GRAMS`` are scanned in several passes over the corpus.
+    counted first, and sets above ``max_grams`` are scanned in several passes over the corpus, one after the other.
     """
     rows = (tests.select(F.col(eval_id).cast("bigint").alias("e"), F.col(eval_text).alias("t"))
             .where("e is not null and t is not null").distinct())
@@ -143,7 +145,7 @@ def leaked(documents: DataFrame, tests: DataFrame, doc_id: str = "doc_id", text:
     docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id is not null and text is not null")
     schema = "doc_id bigint, eval_id bigint, first_word int, words int, matched int"
-    passes = 1 + int(words // (4 * MAX_GRAMS))
+    passes = 1 + int(words // (4 * max_grams))
     out = None
     for part in range(passes):
         some = rows.where(F.pmod(F.xxhash64("e"), F.lit(passes)) == part).orderBy("e").collect() if passes > 1 else \
@@ -151,6 +153,10 @@ def leaked(documents: DataFrame, tests: DataFrame, doc_id: str = "doc_id", text:
         grams = GramSet.build([r["e"] for r in some], [passage(r["t"]) for r in some], n)
         box = documents.sparkSession.sparkContext.broadcast(grams)
         one = docs.mapInArrow(lambda b, box=box: scan(b, box.value, least, gap, share, hits), schema)
+        if passes > 1:
+            # one pass at a time holds its grams; its hits are kept as a table
+            one = save(one)
+            box.unpersist(blocking=True)
         out = one if out is None else out.union(one)
     return out.groupBy("doc_id", "eval_id").agg(F.max(F.struct("words", "matched", "first_word")).alias("m")).select(
         "doc_id", "eval_id", "m.first_word", "m.words", "m.matched")

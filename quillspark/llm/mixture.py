@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import base64
 import math
+import os
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillspark.durable import save
 
@@ -23,25 +25,36 @@ MAX_SOURCES = 10_000
 
 
 def default_vocabulary() -> str:
-    """Where the public tokenizer's ranks lie, unless a path is given."""
+    """Where the public tokenizer's ranks lie on the driver, unless a path is given."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _encoding(path: str):
+def default_pattern() -> str:
     import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def shipped(spark: SparkSession, path: str) -> str:
+    """Sends a file to all executors; the name by which a task finds its own copy."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def _encoding(name: str, pattern: str):
     import tiktoken
 
-    with open(path, "rb") as f:
+    with open(SparkFiles.get(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(batches, path: str, text: str, names: list[str]):
+def token_counts(batches, vocabulary: str, pattern: str, text: str, names: list[str]):
     enc = None
     for batch in batches:
-        enc = enc or _encoding(path)
+        enc = enc or _encoding(vocabulary, pattern)
         n = [len(enc.encode_ordinary(t)) if t else 0 for t in batch.column(text).to_pylist()]
         cols = [batch.column(c) for c in names]
         yield pa.record_batch([*cols, pa.array(n, pa.int64())], names=[*names, "n_tokens"])
@@ -125,7 +138,7 @@ class Mixture:
     shares: DataFrame  #: source, target_share, rate, docs, copies, tokens, share
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, vocabulary: str | None = None, total: float | None = None,
+def mix_sources(documents: DataFrame, targets: DataFrame, vocabulary: str | None = None, pattern: str | None = None, total: float | None = None,
                 seed: int = 7, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                 with_text: bool = True) -> Mixture:
     """Records repeated so that each source approaches its target share of the tokens.
@@ -133,10 +146,11 @@ def mix_sources(documents: DataFrame, targets: DataFrame, vocabulary: str | None
     ``targets`` has ``source``, ``weight`` and ``max_repeats``; labels are compared in one spelling, and of
     repeated targets the largest weight counts. Records of other sources, without an id or with a null
     source are left out; null and empty texts count 0 tokens and are left out; identical rows count once.
-    Equal seeds give equal results on any cluster.
+    Equal seeds give equal results on any cluster. ``vocabulary`` is a file of token ranks on the driver, which is sent
+    to the executors, and ``pattern`` the expression that parts a text into words for it.
     """
     spark = documents.sparkSession
-    vocabulary = vocabulary or default_vocabulary()
+    ranks, pattern = shipped(spark, vocabulary or default_vocabulary()), pattern or default_pattern()
     wanted = (targets.select(source_name(F.col("source")).alias("source"), F.col("weight").cast("double").alias("weight"),
                              F.col("max_repeats").cast("int").alias("cap"))
               .where("source is not null and weight > 0 and cap > 0")
@@ -147,7 +161,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, vocabulary: str | None
     docs = (documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                              source_name(F.col(source)).alias("source"))
             .where("doc_id is not null and text <> ''").where(F.col("source").isin([r["source"] for r in wanted])))
-    counted = save(docs.mapInArrow(lambda b: token_counts(b, vocabulary, "text", ["doc_id", "source"]),
+    counted = save(docs.mapInArrow(lambda b: token_counts(b, ranks, pattern, "text", ["doc_id", "source"]),
                                    "doc_id bigint, source string, n_tokens bigint")
                    .groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens")))
     sizes = {r["source"]: r["n"] for r in counted.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}

@@ -45,7 +45,7 @@ def p3_clusters(spark: SparkSession, d: str) -> DataFrame:
 def p4_scored(spark: SparkSession, d: str) -> DataFrame:
     """The matches of p4_found with their confidence."""
     return match_items_listings(table(spark, d, "items"), table(spark, d, "listings")).select(
-        "item_id", "listing_id", F.round("probability", 6).alias("confidence"))
+        "item_id", "listing_id", F.round("probability", 6).alias("confidence"), "fitted")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -318,4 +318,6 @@ def reading_levels(documents: DataFrame, rated: DataFrame, doc_id: str = "doc_id
     docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id is not null and text is not null")
     scored = docs.mapInArrow(lambda b: score(b, box.value, least_words), schema)
-    return scored.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in ("grade", "confidence", "expected_grade", "sentences")))
+    # one whole row where an id repeats: the one with the most prose
+    row = F.struct("sentences", "confidence", "grade", "expected_grade")
+    return scored.groupBy("doc_id").agg(F.max(row).alias("m")).select("doc_id", "m.grade", "m.confidence", "m.expected_grade", "m.sentences")

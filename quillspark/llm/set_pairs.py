@@ -57,15 +57,20 @@ class SimilarSets:
 
 
 class Plan:
-    """The segment schemes for a threshold: length buckets, segment counts, and the bounds H."""
+    """The segment schemes for a threshold: length buckets, segment counts, and the bounds H.
+
+    All figures are integer vectors over the lengths up to the longest set; with t = p / q, two sets of a and b tokens
+    share at least ceil(p (a + b) / (p + q)).
+    """
 
     def __init__(self, threshold: float, least: int, most: int, per_token: int):
         t = Fraction(str(threshold))
-        self.t, self.lows = t, [max(1, least)]
-        while self.lows[-1] <= most:
-            self.lows.append(max(self.lows[-1] + 1, ceil(self.lows[-1] / t)))
-        self.highs = [x - 1 for x in self.lows[1:]]
-        self.segments = np.array([per_token * h for h in self.highs], np.uint64)
+        p, q = t.numerator, t.denominator
+        lows = [max(1, least)]
+        while lows[-1] <= max(most, lows[0]):
+            lows.append(max(lows[-1] + 1, ceil(lows[-1] / t)))
+        self.t, self.lows, self.highs = t, np.array(lows), np.array(lows[1:]) - 1
+        self.segments = (per_token * self.highs).astype(np.uint64)
         sizes = np.arange(most + 1)
         self.bucket = np.clip(np.searchsorted(self.lows, sizes, "right") - 1, 0, len(self.highs) - 1)
         #: bounds[back][s]: the largest symmetric difference of a set of s tokens with a shorter or equal one
@@ -73,21 +78,40 @@ class Plan:
         self.bounds = np.full((2, most + 1), -1)
         #: need[l]: an indexed set of l tokens may lose to a probing set up to this many filled segments.
         self.need = np.zeros(most + 1, np.int64)
-        for s in range(self.lows[0], most + 1):
-            for back in (0, 1):
-                g = self.bucket[s] - back
-                if g < 0:
-                    continue
-                lo, hi = max(self.lows[g], ceil(t * s)), min(self.highs[g], s)
-                if lo > hi:
-                    continue
-                h = max(s + x - 2 * self.overlap(s, x) for x in range(max(lo, hi - 16), hi + 1))
-                self.bounds[back][s] = h
-                for x in range(lo, hi + 1):
-                    self.need[x] = max(self.need[x], h + x - self.overlap(s, x))
-
-    def overlap(self, a: int, b: int) -> int:
-        return ceil(self.t * (a + b) / (1 + self.t))
+        for back in (0, 1):
+            g = self.bucket - back
+            low = np.maximum(self.lows[np.maximum(g, 0)], -(-p * sizes // q))
+            high = np.minimum(self.highs[np.maximum(g, 0)], sizes)
+            there = (sizes >= lows[0]) & (g >= 0) & (low <= high)
+            for x in (np.maximum(high - i, low) for i in range(17)):
+                both = sizes + x
+                self.bounds[back] = np.where(there, np.maximum(self.bounds[back], both + 2 * (-p * both // (p + q))), -1)
+            # an indexed length x meets the probing lengths s of its bucket, or of the next, from x to x q / p
+            worth = np.where(there, self.bounds[back] * (p + q) - p * sizes, np.iinfo(np.int64).min // 2)
+            home = self.bucket + back
+            known = (home < len(self.highs)) & (sizes >= lows[0])
+            home = np.minimum(home, len(self.highs) - 1)
+            start = np.maximum(sizes, self.lows[home])
+            end = np.minimum.reduce([sizes * q // p, self.highs[home], np.full(most + 1, most)])
+            known &= start <= end
+            x = sizes[known]
+            top = _range_max(worth, start[known], end[known])
+            self.need[x] = np.maximum(self.need[x], x + (top - p * x) // (p + q))
+
+
+def _range_max(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The greatest of values[start .. end], ends included, for many ranges: a table of maxima over powers of two."""
+    out = np.full(len(start), np.iinfo(np.int64).min // 2)
+    if not len(start):
+        return out
+    level, step, width = values, 1, end - start + 1
+    while True:
+        now = (width >= step) & (width < 2 * step)
+        out[now] = np.maximum(level[start[now]], level[end[now] - step + 1])
+        if 2 * step > width.max():
+            return out
+        level = np.maximum(level, np.r_[level[step:], np.repeat(level[-1:], step)])
+        step *= 2
 
 
 def _segments(plan: Plan, tokens: np.ndarray, rec: np.ndarray, bucket: np.ndarray, hot: np.ndarray):
@@ -220,8 +244,10 @@ def similar_sets(records: DataFrame, id: str, tokens: str, threshold: float = 0.
            .where(F.col("k") >= floor).select("t"))
     hot_tokens = np.sort(np.array([r[0] for r in hot.collect()], np.int64).view(np.uint64))
     sets = classes.select("id", "hashes")
-    index = sets.mapInArrow(lambda b: signature_rows(b, plan, hot_tokens, False), SIGNATURES)
-    probe = sets.mapInArrow(lambda b: signature_rows(b, plan, hot_tokens, True), SIGNATURES)
+    # the plan has a few numbers for each length, the hot tokens are bounded as said above
+    box = records.sparkSession.sparkContext.broadcast((plan, hot_tokens))
+    index = sets.mapInArrow(lambda b: signature_rows(b, *box.value, False), SIGNATURES)
+    probe = sets.mapInArrow(lambda b: signature_rows(b, *box.value, True), SIGNATURES)
     p, q = plan.t.numerator, plan.t.denominator
     x, y = probe.alias("x"), index.alias("y")
     united = F.expr(f"x.n + y.n - 2 * cast(ceil({p} * (x.n + y.n) / {p + q}) as int)")

@@ -198,7 +198,7 @@ def consensus(values: DataFrame, fan: int = 64) -> DataFrame:
     while True:
         sizes = level.groupBy("g").agg(F.count("*").alias("k"))
         parts = level.join(sizes, "g").withColumn(
-            "part", F.xxhash64("g", F.pmod(F.xxhash64("text"), F.ceil(F.col("k") / fan)))).select("g", "part", "text", "weight")
+            "part", F.concat_ws(":", "g", F.pmod(F.xxhash64("text"), F.ceil(F.col("k") / fan)))).select("g", "part", "text", "weight")
         level = save(_sorted_parts(parts).mapInArrow(_consensus_rows, schema))
         if level.groupBy("g").count().where("count > 1").limit(1).count() == 0:
             return level.select("g", F.col("text").alias("consensus"))

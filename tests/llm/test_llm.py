@@ -261,3 +261,44 @@ def test_levels(spark):
     assert np.mean([got[i] == g for i, g in grades.items() if i >= 100]) > 0.9
     assert reading.reading_levels(d, l.where("doc_id < 0")).count() == 0
     assert reading.reading_levels(d.where("doc_id < 0"), l).count() == 0
+
+
+def test_segment_plan_of_very_long_sets():
+    import time
+
+    import numpy as np
+
+    began = time.time()
+    plan = set_pairs.Plan(0.6, 5, 100_000, 4)
+    assert time.time() - began < 5
+    # the bounds stated pair by pair, for some lengths
+    for s in (5, 6, 17, 144, 401, 99_999):
+        for back in (0, 1):
+            g = plan.bucket[s] - back
+            if g < 0:
+                continue
+            lo, hi = max(plan.lows[g], -(-3 * s // 5)), min(plan.highs[g], s)
+            diffs = [s + x - 2 * (-(-3 * (s + x) // 8)) for x in range(max(lo, hi - 16), hi + 1)]
+            assert plan.bounds[back][s] == (max(diffs) if lo <= hi else -1)
+    assert (np.diff(plan.bucket[5:]) >= 0).all()
+
+
+def test_training_draw_is_bounded_and_the_same_at_any_partitioning(spark):
+    f = spark.range(20_000).select(F.col("id").alias("left_id"), (F.col("id") * 7).alias("right_id"), (F.col("id") % 2).cast("int").alias("label"),
+                                   *(F.lit(0.5).alias(c) for c in matching.FEATURES))
+    got = [[(r["left_id"], r["h"]) for r in matching._drawn(f.repartition(n), 500)] for n in (2, 9)]
+    assert got[0] == got[1] and len(got[0]) == 500
+    assert len(matching._drawn(f.limit(40), 500)) == 40
+
+
+def test_blocking_recall_against_all_pairs(spark):
+    """All pairs of the smallest tables get features and a probability; the blocks must hold at least nine tenths of the matches."""
+    d = "/root/testdata/sf0.001"
+    items, listings = spark.read.parquet(f"{d}/items.parquet"), spark.read.parquet(f"{d}/listings.parquet")
+    left, right = matching.item_records(items), matching.listing_records(listings)
+    scored = matching.scored_pairs(left.cache(), right.cache())
+    every = matching.features(left.select(F.col("id").alias("left_id")).crossJoin(right.select(F.col("id").alias("right_id"))), left, right)
+    model = matching.trained(matching.features(matching.candidates(left, right), left, right).withColumn("label", matching.weak_label()))
+    true = {tuple(r) for r in every.where(model.probability() >= 0.5).select("left_id", "right_id").collect()}
+    got = {tuple(r) for r in scored.where("probability >= 0.5").select("left_id", "right_id").collect()}
+    assert got <= true and len(true) > 10 and len(got) >= 0.9 * len(true)
