@@ -200,3 +200,21 @@ def flat_tables(raw: DataFrame, record_id: str = "record_id", payload: str = "pa
                             ).where("source_id is not null or landing_page_url is not null")
     return {"works": works, "authors": authors, "institutions": institutions, "references": references,
             "topics": topics, "locations": locations}
+
+
+def json_paths(df: DataFrame, key: str, json: str, depth: int = 12) -> DataFrame:
+    """``(key, path, value)``: one row for each leaf of a JSON text that isn't null, with its path as ``$.a.b[0]``.
+
+    Objects and lists are opened level by level, up to ``depth`` levels; what is nested deeper comes as the text of its JSON.
+    Null and unreadable texts, empty objects and empty lists give no rows.
+    """
+    def step(v: Column, path: Column) -> Column:
+        fields = F.transform(F.map_entries(_get(v, "$", "map<string,variant>")), lambda e: F.struct(F.concat(path, F.lit("."), e["key"]).alias("path"), e["value"].alias("v")))
+        items = F.transform(_get(v, "$", "array<variant>"), lambda x, i: F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("v")))
+        return F.coalesce(fields, items, F.array(F.struct(path.alias("path"), v.alias("v"))))
+
+    x = df.select(key, _once(F.try_parse_json(json)).alias("v")).where("v is not null")
+    nodes = F.reduce(F.sequence(F.lit(1), F.lit(depth)), F.array(F.struct(F.lit("$").alias("path"), F.col("v").alias("v"))),
+                     lambda acc, _: F.flatten(F.transform(acc, lambda n: step(n["v"], n["path"]))))
+    leaves = x.select(key, F.inline(nodes)).where("not is_variant_null(v)")
+    return leaves.select(key, "path", F.coalesce(_get(F.col("v"), "$", "string"), F.to_json("v")).alias("value"))

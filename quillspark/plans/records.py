@@ -36,16 +36,6 @@ def f8_whitelist(spark, d):
             .select("item_id", "source_id", F.coalesce("in_", F.lit(False)).alias("listed")))
 
 
-@query(PP + """, q AS (SELECT work_key, unnest(collectors) AS collector, abstract, collected_at, item_id FROM p WHERE trim(abstract) <> ''),
-  k AS (SELECT *, CASE collector WHEN 'openalex' THEN 0 WHEN 'crossref' THEN 1 ELSE 2 END AS o FROM q),
-  b AS (SELECT work_key, collector, row_number() OVER (PARTITION BY work_key ORDER BY o, collected_at, item_id) AS rn FROM k)
-SELECT collector AS abstract_source, count(*) AS works FROM b WHERE rn = 1 GROUP BY 1""")
-def sc22_abstract_fallback(spark, d):
-    k = (papers(spark, d).where("trim(abstract) <> ''").select("work_key", "collected_at", "item_id", F.explode("collectors").alias("collector"))
-         .withColumn("o", F.when(F.col("collector") == "openalex", 0).when(F.col("collector") == "crossref", 1).otherwise(2)))
-    return K.latest(k, ["work_key"], [F.col("o"), F.col("collected_at"), F.col("item_id")]).groupBy(F.col("collector").alias("abstract_source")).agg(F.count("*").alias("works"))
-
-
 @query("""WITH r AS (SELECT DISTINCT record_id, collector, payload FROM raw_works)
 SELECT collector, count(*) AS records, count(*) FILTER (WHERE json_valid(payload)) AS readable, count(*) FILTER (WHERE NOT json_valid(payload)) AS malformed FROM r GROUP BY collector""")
 def sc26_f20_malformed(spark, d):
@@ -251,12 +241,6 @@ def j18_pending(spark, d):
     return papers(spark, d).where("cited >= 10").select("item_id", "day").join(done, "item_id", "left_anti")
 
 
-@query("SELECT DISTINCT inst_id, coalesce(nullif(lower(trim(city)), ''), 'nowhere') AS place, coalesce(upper(country), '??') AS country FROM institutions")
-def j21_place_lookup(spark, d):
-    return table(spark, d, "institutions").select("inst_id", F.coalesce(T.blank_to_null(F.lower("city")), F.lit("nowhere")).alias("place"),
-                                                  F.coalesce(F.upper("country"), F.lit("??")).alias("country")).distinct()
-
-
 @query(PR + """, b AS (SELECT item_id, list_sort(list(ref)) AS refs FROM r GROUP BY item_id) SELECT p.item_id, p.work_key, coalesce(b.refs, []) AS refs, len(coalesce(b.refs, [])) AS n FROM p LEFT JOIN b ON b.item_id = p.item_id""")
 def sc54_j9_reference_base(spark, d):
     """The part of ``j9_reference_base`` that the SQL states: each record with its sorted references, none included."""
@@ -321,15 +305,6 @@ def se7_jaccard_of_versions(spark, d):
         F.round(F.size(F.array_intersect("x.refs", "y.refs")) / F.size(F.array_union("x.refs", "y.refs")), 6).alias("jaccard"))
 
 
-@query(PP + """ SELECT item_id, coalesce(array_to_string(list_transform(authors[1:3], lambda a: a.name), ', '), '') || CASE WHEN len(authors) > 3 THEN ' et al.' ELSE '' END AS byline,
-  CASE WHEN state = 'published' AND arxiv IS NOT NULL THEN 'was a preprint' END AS note FROM p WHERE len(list_filter(authors, lambda a: a.name IS NULL)) = 0""")
-def s46_s49_cards(spark, d):
-    names = F.transform(F.slice("authors", 1, 3), lambda a: a["name"])
-    return (papers(spark, d).where(~F.exists("authors", lambda a: a["name"].isNull())).select(
-        "item_id", F.concat(F.array_join(names, ", "), F.when(F.size("authors") > 3, " et al.").otherwise("")).alias("byline"),
-        F.when((F.col("state") == "published") & F.col("arxiv").isNotNull(), "was a preprint").alias("note")))
-
-
 @query(PP + """, c AS (SELECT source_id, count(*) FILTER (WHERE len(raw_refs) > 0) AS ours, count(*) AS all_ FROM p WHERE source_id IS NOT NULL GROUP BY 1)
 SELECT count(*) AS sources, round(quantile_cont(ours / all_, 0.5), 6) AS median_share, round(min(ours / all_), 6) AS least, round(max(ours / all_), 6) AS most, round(avg(CASE WHEN ours >= 0.9 * all_ THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS nearly_all FROM c""")
 def a82_completeness(spark, d):

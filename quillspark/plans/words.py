@@ -13,12 +13,6 @@ query, QUERIES, SQL = collection()
 #: Keywords of the example gate (a parameter of ``keyword_pattern``).
 KEYWORDS = ("urban", "street view", "land use", "transit", "commut*", "tree canopy", "housing", "ride-hailing", "infrastructur*")
 _KW = r"(?i)\b(?:urban|street[\s\-]view|land[\s\-]use|transit|commut\w*|tree[\s\-]canopy|housing|ride-hailing|infrastructur\w*)\b"
-#: An example vocabulary: surface, id.
-VOCABULARY = (("random forests", "method:trees"), ("causal forests", "method:trees"), ("topic models", "method:topics"),
-              ("graph neural networks", "method:gnn"), ("remote sensing", "data:satellite"), ("mobile phone traces", "data:phones"),
-              ("street view segmentation", "data:street-view"), ("large language models", "method:llm"), ("spatial regression", "method:spatial"))
-_VOC = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in VOCABULARY) + ") v(surface, id)"
-
 
 @query(PP + r""", k AS (SELECT item_id, nullif(regexp_extract(arxiv, '(\d{4}\.\d{4,5})', 1), '') AS a,
   nullif(regexp_replace(regexp_replace(lower(trim(doi)), '^https?://(?:dx\.)?doi\.[a-z]+/', ''), '^doi:\s*', ''), '') AS b,
@@ -61,28 +55,6 @@ def s12_inverted_index(spark, d):
     return index.select("doc_id", T.from_inverted_index(F.col("index")).alias("text"))
 
 
-@query(PP + f""", x AS (SELECT item_id, ' ' || trim(regexp_replace(regexp_replace(lower(coalesce(title, '') || ' ' || coalesce(abstract, '')), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')) || ' ' AS x FROM p)
-SELECT item_id, id, max(least(0.95, 0.6 + 0.02 * len(string_split(surface, ' '))))::DOUBLE AS confidence FROM x, {_VOC} WHERE contains(x, ' ' || surface || ' ') GROUP BY item_id, id""")
-def s15_vocabulary_scan(spark, d):
-    """Vocabulary surfaces found in title or abstract. The vocabulary is a small fixed table, broadcast."""
-    v = spark.createDataFrame(list(VOCABULARY), "surface string, id string")
-    x = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
-    padded = F.concat(F.lit(" "), T.squeeze(F.regexp_replace(F.lower(x), r"[^a-z0-9\s]", " ")), F.lit(" "))
-    hits = papers(spark, d).select("item_id", padded.alias("x")).join(F.broadcast(v), F.col("x").contains(F.concat(F.lit(" "), "surface", F.lit(" "))))
-    return hits.groupBy("item_id", "id").agg(F.max(F.least(F.lit(0.95), 0.6 + 0.02 * F.size(F.split("surface", " ")))).alias("confidence"))
-
-
-@query(f"""WITH x AS (SELECT doc_id, text, regexp_matches(text, '(?i)https?://(?:www\\.)?(?:github\\.com|gitlab\\.com|bitbucket\\.org|codeberg\\.org)/[A-Za-z0-9_.\\-]+/[A-Za-z0-9_.\\-]+') AS url,
-  regexp_matches(text, '(?i)\\b(data|dataset|datasets)\\s+(is|are)?\\s*(publicly\\s+)?(available|released|open)\\b') AS data,
-  nullif(regexp_extract(text, '{T.SAMPLE}', 1), '') AS sample, nullif(regexp_extract(text, '{T.PERIOD}', 0), '') AS period FROM (SELECT DISTINCT doc_id, text FROM documents))
-SELECT doc_id, url AS code, data, sample, period FROM x""")
-def s21_s23_signals(spark, d):
-    t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", "text").distinct().select(
-        "doc_id", t.rlike(T.CODE_URL).alias("code"), t.rlike(T.DATA_PHRASE).alias("data"), T.blank_to_null(F.regexp_extract(t, T.SAMPLE, 1)).alias("sample"),
-        T.blank_to_null(F.regexp_extract(t, T.PERIOD, 0)).alias("period"))
-
-
 @query(PP + f""", x AS (SELECT item_id, categories, coalesce(title, '') || ' ' || coalesce(abstract, '') AS x FROM p)
 SELECT item_id, CASE WHEN len(categories) = 0 THEN 'none' WHEN list_has_any(categories, ['cs.CY', 'cs.SI', 'stat.AP', 'physics.soc-ph']) THEN 'open'
   WHEN list_has_any(categories, ['cs.LG', 'cs.CV', 'cs.AI']) THEN CASE WHEN regexp_matches(x, '{_KW}') THEN 'keyword' ELSE 'dropped' END ELSE 'other' END AS gate,
@@ -100,15 +72,6 @@ def f1_f4_gate(spark, d):
     return papers(spark, d).select("item_id", gate.alias("gate"), found.alias("keywords"))
 
 
-@query(f"""SELECT DISTINCT listing_id, regexp_matches(title, '(?i)</?(i|scp|em)>') AS markup, regexp_matches(title, '(?i)^\\s*(book\\s+review|review\\s+essay|reviews?\\s*:)') AS genre,
-  regexp_matches(title, '{T.NOTICE.replace("'", "''")}') AS notice, CASE WHEN regexp_matches(title, '{T.NOTICE.replace("'", "''")}') THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM listings""")
-def f5_f7_detectors(spark, d):
-    t = F.col("title")
-    return table(spark, d, "listings").select("listing_id", t.rlike(r"(?i)</?(i|scp|em)>").alias("markup"),
-                                              t.rlike(r"(?i)^\s*(book\s+review|review\s+essay|reviews?\s*:)").alias("genre"), t.rlike(T.NOTICE).alias("notice"),
-                                              F.when(t.rlike(T.NOTICE), 0.0).otherwise(1.0).alias("weight")).distinct()
-
-
 @query(r"""WITH x AS (SELECT DISTINCT listing_id, title FROM listings), s AS (SELECT listing_id, (CASE WHEN regexp_matches(title, '(?i)</?(i|scp|em)>') THEN ['markup'] ELSE [] END) ||
   (CASE WHEN contains(title, ':') THEN ['colon'] ELSE [] END) || (CASE WHEN contains(title, '?') THEN ['question'] ELSE [] END) AS l FROM x)
 SELECT array_to_string(list_sort(l), ' + ') AS signals, count(*) AS titles FROM s GROUP BY 1""")
@@ -140,11 +103,6 @@ def s41_s42_names_and_digests(spark, d):
                                    F.sha2("work_key", 256).alias("full_hash"))
 
 
-@query(PP + r""" SELECT source_id, split_part(regexp_replace(lower(trim(doi)), '^(https?://doi\.[a-z]+/|doi:)', ''), '/', 1) AS prefix, count(*) AS papers FROM p WHERE doi IS NOT NULL GROUP BY 1, 2""")
-def sc24_doi_prefixes(spark, d):
-    return papers(spark, d).where("doi is not null").groupBy("source_id", F.split_part(I.doi(F.col("doi")), F.lit("/"), F.lit(1)).alias("prefix")).agg(F.count("*").alias("papers"))
-
-
 @query(r"""WITH x AS (SELECT DISTINCT doc_id, text FROM documents) SELECT doc_id, CASE WHEN len(text) <= 200 THEN text WHEN len(regexp_extract(substr(text, 1, 200), '(?s)^(.*[.?!])\s', 1)) > 100
   THEN regexp_extract(substr(text, 1, 200), '(?s)^(.*[.?!])\s', 1) ELSE rtrim(substr(text, 1, 200)) || '…' END AS opening FROM x""")
 def s40_openings(spark, d):
@@ -160,35 +118,9 @@ def a70_feature_counts(spark, d):
         n(r"(?i)\b(more|less|than|lower|higher)\b").alias("comparatives"), F.length("text").cast("bigint").alias("chars"))
 
 
-@query(PP + r""", g AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(title), '[a-z]+ (?:regression|models|forests|learning|analysis|networks)')) AS phrase FROM p)
-SELECT phrase, count(*) AS titles FROM g GROUP BY phrase HAVING count(*) >= 3""")
-def a52_phrase_mining(spark, d):
-    g = papers(spark, d).select("item_id", F.explode(F.regexp_extract_all(F.lower("title"), F.lit(r"[a-z]+ (?:regression|models|forests|learning|analysis|networks)"), F.lit(0))).alias("phrase"))
-    return g.distinct().groupBy("phrase").agg(F.count("*").alias("titles")).where("titles >= 3")
-
-
 @query(PP + r""", x AS (SELECT item_id, coalesce(title, '') || ' ' || coalesce(abstract, '') AS x FROM p)
 SELECT item_id, round(least(0.95, 0.05 + 0.115 * len(list_distinct(list_transform(regexp_extract_all(x, '(?i)\b(urban|city|street|transit|housing|walkability|mobility|neighbourhood)\b', 0), lambda s: lower(s))))), 4)::DOUBLE AS relevance FROM x""")
 def s26_heuristic_relevance(spark, d):
     x = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
     hit = F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit(r"(?i)\b(urban|city|street|transit|housing|walkability|mobility|neighbourhood)\b"), F.lit(0)), F.lower))
     return papers(spark, d).select("item_id", F.round(F.least(F.lit(0.95), 0.05 + 0.115 * F.size(hit)), 4).alias("relevance"))
-
-
-@query(r"""WITH g AS (SELECT doc_id, w[i:i+7] AS g FROM (SELECT doc_id, string_split(text, ' ') AS w, unnest(range(1, len(string_split(text, ' ')) - 6)) AS i FROM (SELECT DISTINCT doc_id, text FROM documents))),
- u AS (SELECT DISTINCT doc_id, array_to_string(g, ' ') AS g FROM g) SELECT g AS shingle, count(*) AS docs FROM u GROUP BY g HAVING count(*) >= 5""")
-def s39_shared_runs(spark, d):
-    """Runs of eight words that stand in at least five documents."""
-    w = F.split("text", " ")
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - 7), lambda i: F.array_join(F.slice(w, i, 8), " "))
-    g = (table(spark, d, "documents").select("doc_id", "text").distinct().where(F.size(w) >= 8).select("doc_id", F.explode(F.array_distinct(runs)).alias("shingle")))
-    return g.groupBy("shingle").agg(F.count("*").alias("docs")).where("docs >= 5")
-
-
-@query(PP + """, s AS (SELECT *, CASE WHEN lower(source_name) LIKE '%archive%' OR lower(source_name) LIKE '%repository%' THEN 'archive' WHEN lower(source_name) LIKE '%preprint%' THEN 'preprint'
-  WHEN source_name IS NULL THEN 'unknown' ELSE 'journal' END AS route FROM p) SELECT route, count(*) AS papers, count(abstract) AS with_abstract FROM s GROUP BY route""")
-def sc23_routing(spark, d):
-    """First needle of an ordered list found in the source's name."""
-    n = F.lower("source_name")
-    route = (F.when(n.contains("archive") | n.contains("repository"), "archive").when(n.contains("preprint"), "preprint").when(F.col("source_name").isNull(), "unknown").otherwise("journal"))
-    return papers(spark, d).groupBy(route.alias("route")).agg(F.count("*").alias("papers"), F.count("abstract").alias("with_abstract"))
