@@ -440,7 +440,8 @@ def _author_clusters(rows: DataFrame, names: DataFrame, known: DataFrame, simila
     here = nodes.where(F.col("at") != 0).where(_STRONG)
     left = here.select("at", F.col("surname").alias("a"), F.col("given").alias("ga"), F.col("orcid").alias("oa"), F.col("node").alias("x"), F.explode("forms").alias("f"))
     right = here.select("at", F.col("surname").alias("b"), F.col("given").alias("gb"), F.col("orcid").alias("ob"), F.col("node").alias("y"), F.explode("forms").alias("g"))
-    met = (left.join(surnames, "a").join(givens, "f").join(right, ["at", "b", "g"]).where("x < y and (oa = ob or oa = '' or ob = '')")
+    there = right.select("at", "b").distinct()
+    met = (left.join(surnames, "a").join(there, ["at", "b"], "left_semi").join(givens, "f").join(right, ["at", "b", "g"]).where("x < y and (oa = ob or oa = '' or ob = '')")
            .select("x", "y", "ga", "gb"))
     by_orcid = rows.where("orcid <> ''").groupBy("orcid").agg(F.min("id").alias("low"))
     one_orcid = rows.join(by_orcid, "orcid").where("id <> low").select(F.col("id").alias("x"), F.col("low").alias("y"))
