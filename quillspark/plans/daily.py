@@ -141,7 +141,7 @@ def st6_outcomes(spark, d):
     return x.select("day", F.when(F.col("n") == 0, "quiet").when(F.col("f") == 0, "open").when(F.col("o") == 0, "closed").otherwise("mixed").alias("outcome"))
 
 
-@query()
+@query("SELECT ts::DATE AS day, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
 def st2_stream_first_seen(spark, d):
     """The events replayed as a stream: repeats within the watermark dropped, daily counts published once."""
     from quillspark.streaming.replay import daily_counts

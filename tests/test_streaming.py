@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quillspark.streaming.replay import daily_counts, publish_once
 
 
@@ -14,3 +16,20 @@ def test_stream_equals_batch(spark):
     folder = "/root/testdata/sf0.001"
     n = daily_counts(spark, folder).groupBy().sum("n").first()[0]
     assert n == spark.read.parquet(f"{folder}/events.parquet").select("event_id").distinct().count()
+
+
+def test_publish_by_day_reads_only_its_days(spark, tmp_path):
+    from datetime import date
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, day date")
+    publish_once(rows((1, date(2026, 1, 1)), (2, date(2026, 1, 2))), path, ["k"], "day")
+    publish_once(rows((2, date(2026, 1, 2)), (3, date(2026, 1, 2))), path, ["k"], "day")
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_backfill_is_whole_and_resumes(spark):
+    from quillspark.streaming.backfill import backfill_days, pending
+    e = spark.createDataFrame([(f"2026-01-0{1 + i % 4} 10:00:00", "ab"[i % 2], float(i)) for i in range(40)], "ts string, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    assert backfill_days(e).groupBy().sum("n").first()[0] == 40
+    days = e.select(F.col("ts").cast("date").alias("day"))
+    assert [str(r.day) for r in pending(days, days.where("day < '2026-01-03'")).collect()] == ["2026-01-03", "2026-01-04"]
