@@ -48,14 +48,14 @@ def lent_slots(df: DataFrame, day: str, first: Column, first_order: list[Column]
 
 def hash_sample(df: DataFrame, by: list[str], key: list[str], n: int, seed: int = 42) -> DataFrame:
     """n rows of each group in the order of a seeded hash of their key: the same draw on any cluster."""
-    order = [F.xxhash64(F.lit(seed), *key), *key]
+    order = [F.md5(F.concat_ws(":", F.lit(seed), *key)), *key]
     return top_in_group(df, by, [F.col(o) if isinstance(o, str) else o for o in order], n, "draw")
 
 
 def round_robin(df: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """One row of each stratum in turn, larger strata first, until n are drawn (the size of the draw is a parameter)."""
     size = df.groupBy(stratum).agg(F.count("*").alias("size"))
-    turn = df.withColumn("turn", F.row_number().over(Window.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), key), key)))
+    turn = df.withColumn("turn", F.row_number().over(Window.partitionBy(stratum).orderBy(F.md5(F.concat_ws(":", F.lit(seed), key)), key)))
     return turn.where(F.col("turn") <= n).join(size, stratum).orderBy("turn", F.desc("size"), stratum).limit(n)
 
 

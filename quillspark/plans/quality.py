@@ -88,7 +88,10 @@ def a58_two_by_two(spark, d):
                  F.count_if(~F.col("long_") & F.col("keep")).alias("c"), F.count_if(~F.col("long_") & ~F.col("keep")).alias("d"))
 
 
-@query()
+@query(f"""WITH {_J}, x AS (SELECT n_chars >= 1200 AS long_, keep FROM j), t AS (SELECT count(*) FILTER (WHERE long_ AND keep) AS a, count(*) FILTER (WHERE long_ AND NOT keep) AS b, count(*) FILTER (WHERE NOT long_ AND keep) AS c, count(*) FILTER (WHERE NOT long_ AND NOT keep) AS d FROM x),
+  k AS (SELECT t.*, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS i FROM t),
+  q AS (SELECT *, exp(lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(i + 1) - lgamma(a + b - i + 1) - lgamma(a + c - i + 1) - lgamma(d - a + i + 1) - lgamma(a + b + c + d + 1)) AS w FROM k), s AS (SELECT w AS seen FROM q WHERE i = a)
+SELECT any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, any_value(d) AS d, least(1.0, sum(w)) AS p FROM q, s WHERE w <= seen * (1 + 1e-9)""")
 def a48_fisher(spark, d):
     return a58_two_by_two(spark, d).select("a", "b", "c", "d", M.fisher_exact("a", "b", "c", "d").alias("p"))
 
@@ -213,12 +216,13 @@ def w19_stride_sample(spark, d):
     return K.stride(table(spark, d, "part"), ["p_brand"], [F.desc("p_retailprice"), F.col("p_partkey")], 10).select("p_brand", "p_partkey")
 
 
-@query()
+@query(PP + ", x AS (SELECT item_id, source_id, row_number() OVER (PARTITION BY source_id ORDER BY md5('42:' || item_id), item_id) AS draw FROM p) SELECT * FROM x WHERE draw <= 2")
 def w13_w14_hash_sample(spark, d):
     return K.hash_sample(papers(spark, d).select("item_id", "source_id"), ["source_id"], ["item_id"], 2)
 
 
-@query()
+@query(PP + """, s AS (SELECT source_id, count(*) AS size FROM p WHERE source_id IS NOT NULL GROUP BY 1), x AS (SELECT p.item_id, p.source_id, row_number() OVER (PARTITION BY p.source_id ORDER BY md5('42:' || p.item_id), p.item_id) AS turn, size FROM p JOIN s ON s.source_id = p.source_id)
+SELECT source_id, item_id, turn, size FROM x ORDER BY turn, size DESC, source_id LIMIT 100""")
 def w18_round_robin(spark, d):
     return K.round_robin(papers(spark, d).where("source_id is not null").select("item_id", "source_id"), "source_id", "item_id", 100)
 

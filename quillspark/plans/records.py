@@ -23,9 +23,8 @@ def sc2_windows(spark, d):
 @query("""WITH s AS (SELECT source_id, row_number() OVER (ORDER BY source_id) - 1 AS n FROM sources)
 SELECT n // 40 AS chunk, count(*) AS size, min(source_id) AS first_id, max(source_id) AS last_id FROM s GROUP BY 1""")
 def sc18_chunks(spark, d):
-    from pyspark.sql import Window
-    s = table(spark, d, "sources").select("source_id", (F.row_number().over(Window.orderBy("source_id")) - 1).alias("n"))
-    return s.groupBy(F.floor(F.col("n") / 40).alias("chunk")).agg(F.count("*").alias("size"), F.min("source_id").alias("first_id"), F.max("source_id").alias("last_id"))
+    s = K.places(table(spark, d, "sources").select("source_id"), [F.asc("source_id")])
+    return s.groupBy(F.floor((F.col("place") - 1) / 40).alias("chunk")).agg(F.count("*").alias("size"), F.min("source_id").alias("first_id"), F.max("source_id").alias("last_id"))
 
 
 @query(PP + """, s AS (SELECT upper(source_id) AS source_id FROM sources WHERE source_type = 'journal')
@@ -93,17 +92,16 @@ def j4_status_changes(spark, d):
             .select("work_key", "item_id", "before", F.col("state").alias("after"), "collected_at"))
 
 
-@query(PP + r""", k AS (SELECT item_id, list_filter(['a:' || nullif(regexp_extract(arxiv, '(\d{4}\.\d{4,5})', 1), ''), 'w:' || nullif(upper(regexp_extract(trim(openalex), '([^/:\s]+)/*$', 1)), '')], lambda x: x IS NOT NULL) AS keys FROM p)
-SELECT item_id, list_sort(list_distinct(keys)) AS keys FROM k""")
-def j25_identity_keys(spark, d):
-    """The part of ``j25_paper_keys`` that the SQL states: arXiv id and OpenAlex id as they stand in ids."""
-    a, w = I.arxiv_id(F.col("arxiv")), I.bare_segment(F.col("openalex"))
-    keys = F.array_compact(F.array(F.concat(F.lit("a:"), a), F.concat(F.lit("w:"), w)))
-    return papers(spark, d).select("item_id", F.array_sort(F.array_distinct(keys)).alias("keys"))
+_KEYS = PP + r""", fields AS (SELECT DISTINCT item_id, lower(trim(f)) AS f FROM (SELECT item_id, unnest([work_key, 'arxiv:' || arxiv, doi, openalex, url]) AS f FROM p) WHERE trim(f) <> ''),
+  parts AS (SELECT item_id, regexp_extract(f, '(10\.\d{4,9}/\S+)', 1) AS doi, regexp_extract(f, '/arxiv\.(\d{4}\.\d{4,5})', 1) AS old, regexp_extract(f, '(?:^|[/:])(w\d+)/*$', 1) AS w, regexp_extract(f, '(?:^|[/:])(\d{4}\.\d{4,5})(?:v\d+)?$', 1) AS ax FROM fields),
+  keys AS (SELECT item_id, 'arxiv:' || CASE WHEN old <> '' THEN old ELSE ax END AS k FROM parts WHERE old <> '' OR (doi = '' AND ax <> '') UNION SELECT item_id, 'doi:' || doi FROM parts WHERE doi <> '' AND old = '' UNION SELECT item_id, 'openalex:' || upper(w) FROM parts WHERE w <> '')"""
+#: CTEs ``keys`` and ``roots``: the identity keys of each record, and the smallest record that shared keys lead to.
+_ROOTS = _KEYS.replace("WITH ", "WITH RECURSIVE ", 1) + """, links AS (SELECT DISTINCT a.item_id AS u, b.item_id AS v FROM keys a JOIN keys b ON a.k = b.k), reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+  roots AS (SELECT p.item_id, coalesce(min(v), p.item_id) AS root FROM p LEFT JOIN reach ON reach.u = p.item_id GROUP BY p.item_id)"""
 
 
-@query()
-def j25_paper_keys(spark, d):
+@query(_KEYS + " SELECT p.item_id, coalesce((SELECT list_sort(list(k)) FROM keys WHERE keys.item_id = p.item_id), []) AS keys FROM p")
+def j25_identity_keys(spark, d):
     """All identity keys of each record: arXiv id, DOI and OpenAlex id of work_key, ids and landing page."""
     return identity_keys(papers(spark, d))
 
@@ -113,27 +111,8 @@ def identity_keys(p):
     return p.select("item_id", F.array_sort(keys).alias("keys"))
 
 
-_MEMBERS = PP + r""", k AS (SELECT item_id, nullif(regexp_extract(arxiv, '(\d{4}\.\d{4,5})', 1), '') AS k FROM p), m AS (SELECT p.*, min(p.item_id) OVER (PARTITION BY k.k) AS root FROM p JOIN k ON k.item_id = p.item_id WHERE k.k IS NOT NULL),
-  o AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY CASE WHEN work_key LIKE 'arxiv:%' THEN 0 WHEN work_key LIKE 'doi:%' THEN 1 WHEN work_key LIKE 'openalex:%' THEN 2 ELSE 3 END, work_key, item_id) AS o FROM m)"""
-
-
-@query(_MEMBERS + """ SELECT root, first(work_key ORDER BY o) AS work_key, first(abstract ORDER BY o) FILTER (WHERE abstract IS NOT NULL) AS abstract, first(doi ORDER BY o) FILTER (WHERE doi IS NOT NULL) AS doi,
-  max(cited) AS cited, last(state ORDER BY o) FILTER (WHERE state = 'published') AS published, count(*) AS members, list_sort(list_distinct(flatten(list(collectors)))) AS collectors,
-  list_sort(list_distinct(list(work_key))) AS member_keys FROM o GROUP BY root""")
-def a1_a2_collapse(spark, d):
-    """Records of one arXiv paper merged field by field in the order of their keys: the part of ``a1_a2_clusters`` that the SQL states,
-    by the arXiv id in ids alone and without the records that have none."""
-    p = papers(spark, d).withColumn("k", I.arxiv_id(F.col("arxiv"))).where("k is not null")
-    low = p.groupBy("k").agg(F.min("item_id").alias("root"))
-    o = F.struct(I.key_rank(F.col("work_key")), "work_key", "item_id")
-    return (p.join(low, "k").groupBy("root").agg(
-        F.min_by("work_key", o).alias("work_key"), X.first_filled(F.col("abstract"), o).alias("abstract"), X.first_filled(F.col("doi"), o).alias("doi"),
-        F.max("cited").alias("cited"), X.last_filled(F.when(F.col("state") == "published", F.col("state")), o).alias("published"), F.count("*").alias("members"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("collectors")))).alias("collectors"), F.array_sort(F.collect_set("work_key")).alias("member_keys")))
-
-
-@query()
-def j3_paper_components(spark, d):
+@query(_ROOTS + " SELECT item_id, root FROM roots")
+def j1_j3_paper_components(spark, d):
     """Each record with the smallest record of its paper: what shared keys join, directly or through other records; a record alone is its own."""
     return paper_components(papers(spark, d))
 
@@ -142,21 +121,44 @@ def paper_components(p):
     return X.identity_groups(save(identity_keys(p)), "item_id", "keys").select(F.col("id").alias("item_id"), "root")
 
 
-@query()
-def a1_a2_clusters(spark, d):
+_ORDER = "CASE WHEN work_key LIKE 'arxiv:%' THEN 0 WHEN work_key LIKE 'doi:%' THEN 1 WHEN work_key LIKE 'openalex:%' THEN 2 ELSE 3 END, work_key, p.item_id"
+
+
+@query(_ROOTS + f""", o AS (SELECT p.*, root, row_number() OVER (PARTITION BY root ORDER BY {_ORDER}) AS o FROM p JOIN roots ON roots.item_id = p.item_id),
+  g AS (SELECT root, first(work_key ORDER BY o) AS work_key, first(abstract ORDER BY o) FILTER (WHERE trim(abstract) <> '') AS abstract, first(arxiv ORDER BY o) FILTER (WHERE arxiv IS NOT NULL) AS arxiv, first(doi ORDER BY o) FILTER (WHERE doi IS NOT NULL) AS doi,
+    first(openalex ORDER BY o) FILTER (WHERE openalex IS NOT NULL) AS openalex, max(cited) AS cited, last(state ORDER BY o) FILTER (WHERE state = 'published') AS published, count(*) AS members, list_sort(list_distinct(flatten(list(collectors)))) AS collectors,
+    list_sort(list_distinct(list(work_key))) AS member_keys, first(len(authors) ORDER BY o) FILTER (WHERE len(authors) > 0) AS n_authors, first(list_transform(topics, lambda t: t.id) ORDER BY o) FILTER (WHERE len(topics) > 0) AS topics FROM o GROUP BY root),
+  c AS (SELECT root, c, min(o * 1000 + at_) AS w FROM (SELECT root, o, unnest(categories) AS c, unnest(range(len(categories))) AS at_ FROM o) GROUP BY 1, 2), k AS (SELECT root, list(c ORDER BY w) AS categories FROM c WHERE c IS NOT NULL GROUP BY root),
+  a AS (SELECT o.root, o.o, unnest(authors) AS a, unnest(range(1, len(authors) + 1)) AS at_ FROM o JOIN g ON g.root = o.root WHERE len(authors) = n_authors),
+  f AS (SELECT root, at_, first(a.name ORDER BY o) FILTER (WHERE a.name IS NOT NULL) AS name, first(a.orcid ORDER BY o) FILTER (WHERE a.orcid IS NOT NULL) AS orcid FROM a GROUP BY 1, 2), n AS (SELECT root, list(coalesce(name, '') || '|' || coalesce(orcid, '') ORDER BY at_) AS authors FROM f GROUP BY root)
+SELECT g.root, work_key, abstract, arxiv, doi, openalex, cited, published, members, collectors, member_keys, topics, coalesce(k.categories, []) AS categories, coalesce(n.authors, []) AS authors FROM g LEFT JOIN k ON k.root = g.root LEFT JOIN n ON n.root = g.root""")
+def a1_a2_collapse(spark, d):
     """All records, those of one paper merged field by field in the order of their keys; a paper is what shared keys join, directly or
     through other records, and a record alone stays."""
     return collapse(papers(spark, d))
 
 
 def collapse(p):
-    groups = paper_components(p)
+    """One row a paper. Scalars, topics and the list of authors come from the first record that has them; the fields of an author are filled
+    from records with as many authors; categories keep the order of first sight; collectors and keys are sets."""
     o = F.struct(I.key_rank(F.col("work_key")), "work_key", "item_id")
-    return p.join(groups, "item_id").groupBy("root").agg(
-        F.min_by("work_key", o).alias("work_key"), X.first_filled(F.when(F.trim("abstract") != "", F.col("abstract")), o).alias("abstract"),
-        X.first_filled(F.col("doi"), o).alias("doi"), F.max("cited").alias("cited"),
-        X.last_filled(F.when(F.col("state") == "published", F.col("state")), o).alias("published"), F.count("*").alias("members"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("collectors")))).alias("collectors"), F.array_sort(F.collect_set("work_key")).alias("member_keys"))
+    x = save(p.join(paper_components(p), "item_id").withColumn("o", o))
+    some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    first = lambda c: X.first_filled(F.col(c), F.col("o")).alias(c)
+    g = x.groupBy("root").agg(
+        F.min_by("work_key", "o").alias("work_key"), X.first_filled(F.when(F.trim("abstract") != "", F.col("abstract")), F.col("o")).alias("abstract"), first("arxiv"), first("doi"), first("openalex"),
+        F.max("cited").alias("cited"), X.last_filled(F.when(F.col("state") == "published", F.col("state")), F.col("o")).alias("published"), F.count("*").alias("members"), F.array_sort(F.collect_set("work_key")).alias("member_keys"),
+        X.first_filled(F.size(some("authors")), F.col("o")).alias("n_authors"), F.transform(X.first_filled(some("topics"), F.col("o")), lambda t: t["id"]).alias("topics"))
+    sets = x.select("root", F.explode("collectors").alias("c")).groupBy("root").agg(F.array_sort(F.collect_set("c")).alias("collectors"))
+    cats = x.select("root", "o", F.posexplode("categories").alias("at", "c")).where("c is not null").groupBy("root", "c").agg(F.min(F.struct("o", "at")).alias("w"))
+    cats = cats.groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "c"))), lambda y: y["c"]).alias("categories"))
+    a = x.join(g.select("root", "n_authors"), "root").where(F.size("authors") == F.col("n_authors")).select("root", "o", F.posexplode("authors").alias("at", "a"))
+    a = a.groupBy("root", "at").agg(X.first_filled(F.col("a.name"), F.col("o")).alias("name"), X.first_filled(F.col("a.orcid"), F.col("o")).alias("orcid"))
+    line = F.concat_ws("|", F.coalesce("name", F.lit("")), F.coalesce("orcid", F.lit("")))
+    names = a.groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("at"), line.alias("l")))), lambda y: y["l"]).alias("authors"))
+    none = F.array().cast("array<string>")
+    j = g.drop("n_authors").join(sets, "root", "left").join(cats, "root", "left").join(names, "root", "left")
+    return j.select(*(c for c in j.columns if c not in ("collectors", "categories", "authors")), *(F.coalesce(c, none).alias(c) for c in ("collectors", "categories", "authors")))
 
 
 @query()
@@ -182,15 +184,6 @@ def f19_references_resolve(spark, d):
             .agg(F.count("*").alias("docs"), F.count("known").alias("resolved")))
 
 
-@query(PP + r""", e AS (SELECT 'topic' AS facet, t.id AS id FROM (SELECT unnest(topics) AS t FROM p) UNION ALL SELECT 'person', a.openalex FROM (SELECT unnest(authors) AS a FROM p) WHERE a.openalex IS NOT NULL)
-SELECT facet, count(*) AS refs, count(*) FILTER (WHERE NOT regexp_matches(id, '^(T|A)\d+$')) AS free_strings FROM e GROUP BY facet""")
-def f18_id_shapes(spark, d):
-    p = papers(spark, d)
-    e = (p.select(F.lit("topic").alias("facet"), F.explode("topics.id").alias("id")).union(
-        p.select(F.lit("person"), F.explode("authors.openalex").alias("id")).where("id is not null")))
-    return e.groupBy("facet").agg(F.count("*").alias("refs"), F.count_if(~F.col("id").rlike(r"^(T|A)\d+$")).alias("free_strings"))
-
-
 @query(PP + """, c AS (SELECT item_id, [CASE WHEN title IS NULL THEN 'no title' END, CASE WHEN abstract IS NULL OR trim(abstract) = '' THEN 'no abstract' END, CASE WHEN len(authors) = 0 THEN 'no authors' END,
   CASE WHEN source_id IS NULL THEN 'no source' END] AS l FROM p) SELECT array_to_string(list_filter(l, lambda x: x IS NOT NULL), '; ') AS reasons, count(*) AS papers FROM c GROUP BY 1""")
 def j35_reasons(spark, d):

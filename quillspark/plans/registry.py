@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.plans import archive, citing, daily, nested, quality, records, vocabulary, words
+from quillspark.plans import archive, citing, daily, measure, nested, quality, records, vocabulary, words
 
-MODULES = (archive, citing, daily, nested, quality, records, vocabulary, words)
+MODULES = (archive, citing, daily, measure, nested, quality, records, vocabulary, words)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

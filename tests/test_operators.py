@@ -139,11 +139,12 @@ def test_researcher_projection_keeps_hot_references_and_single_shares(spark):
 
 
 PAPER = ("item_id long, work_key string, arxiv string, doi string, openalex string, url string, abstract string, cited long, state string, "
-         "collectors array<string>, title string, day date, authors array<struct<name:string>>, refs array<string>, source_name string, collected_at long")
+         "collectors array<string>, title string, day date, authors array<struct<name:string,orcid:string>>, refs array<string>, source_name string, collected_at long, "
+         "categories array<string>, topics array<struct<id:string>>")
 
 
 def paper_rows(spark, *rows):
-    base = {"collectors": ["c"], "cited": 0, "authors": [], "refs": [], "collected_at": 0}
+    base = {"collectors": ["c"], "cited": 0, "authors": [], "refs": [], "collected_at": 0, "categories": [], "topics": []}
     names = [x.split()[0] for x in PAPER.split(", ")]
     return spark.createDataFrame([tuple((base | r).get(n) for n in names) for r in rows], PAPER)
 
@@ -166,6 +167,15 @@ def test_collapse_joins_by_all_keys_and_keeps_singletons(spark):
     assert r.member_keys == ["arxiv:2608.00001v2", "doi:10.1000/a", "openalex:W5", "other:4"]
 
 
+def test_collapse_fills_authors_and_keeps_the_order_of_categories(spark):
+    from quillspark.plans.records import collapse
+
+    p = paper_rows(spark, {"item_id": 1, "work_key": "openalex:W1", "authors": [("A", None), (None, "o2")], "categories": ["x", "y", None], "topics": [("T1",)]},
+                   {"item_id": 2, "work_key": "openalex:W1", "authors": [("Z", "o1"), ("B", "o9")], "categories": ["z", "y"]}, {"item_id": 3, "work_key": "openalex:W1", "authors": [("one", "o")]})
+    (r,) = collapse(p).collect()
+    assert (r.authors, r.categories, r.topics, r.members) == (["A|o1", "B|o2"], ["x", "y", "z"], ["T1"], 3)
+
+
 def test_supplier_components_use_lines_of_any_quantity(spark):
     from quillspark.plans.citing import supplier_components
 
