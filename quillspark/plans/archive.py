@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quillspark.functions import ids as I, text as T
 from quillspark.operators import merge as X, nested as N, queues as Q, ranking as K
+from quillspark.plans import nested as payloads
 from quillspark.plans.common import PP, PR, collection, papers, refs
+from quillspark.sources.feeds import atom_entries
 from quillspark.sources.tables import table
 
 query, QUERIES, SQL = collection()
@@ -241,3 +243,57 @@ def st8_backfill(spark, d):
     from quillspark.streaming.backfill import backfill_days
 
     return backfill_days(table(spark, d, "events"))
+
+
+@query(r"""SELECT DISTINCT '10.9/' || listing_id AS doi, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title, len(coalesce(authors, [])) AS authors,
+  publication_date AS published, 'arxiv:2601.' || lpad((listing_id % 100000)::VARCHAR, 5, '0') AS work_key FROM listings WHERE trim(regexp_replace(lower(title), '[^a-z0-9\s]', ' ', 'g')) <> ''""")
+def sc6_sc9_feed_round_trip(spark, d):
+    """Listings written as Atom feeds and read back: keys, titles, authors, dates by their prefix, DOIs."""
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(F.lower("title"), r"[^a-z0-9\s]", " "), r"\s+", " "))
+    names = F.array_join(F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda _, i: F.concat(F.lit("<author><name>N"), i.cast("string"), F.lit("</name></author>"))), "")
+    entry = F.concat(tag("id", F.concat(F.lit("https://archive.example/abs/2601."), F.lpad((F.col("listing_id") % 100000).cast("string"), 5, "0"))), tag("title", plain), names,
+                     F.coalesce(tag("published", F.concat(F.col("publication_date").cast("string"), F.lit("T00:00:00Z"))), F.lit("")), tag("doi", F.concat(F.lit("10.9/"), "listing_id")))
+    feeds = table(spark, d, "listings").distinct().where(plain != "").select(tag("feed", tag("entry", entry)).alias("xml"))
+    return atom_entries(feeds, "xml").select("doi", "title", F.size("authors").cast("bigint").alias("authors"), "published", "work_key").distinct()
+
+
+@query(f"""WITH {payloads._WORK}, x AS (SELECT record_id, result, loc, w, lower(trim(coalesce(loc ->> '$.source.type', loc ->> '$.type', ''))) AS kind, coalesce(loc ->> '$.landing_page_url', '') AS url FROM listed)
+SELECT record_id, result, CASE WHEN kind = 'journal' THEN 'published' ELSE 'preprint' END AS state, coalesce(nullif(kind, ''), nullif(loc ->> '$.version', '')) AS location_type,
+  nullif(regexp_extract(url, '(?:abs|pdf)/(\\d{{4}}\\.\\d{{4,5}})', 1), '') AS arxiv, contains(lower(url), 'deposit') AS repository, coalesce(w ->> '$.display_name', w ->> '$.title', w ->> '$.bibliography.title') AS title FROM x""")
+def sc14_sc17_items_of_payloads(spark, d):
+    """Records of fetched payloads as items: state by the kind of source, kind of location, arXiv id and repository of its address."""
+    v = F.col("v")
+    loc = F.coalesce(*(N._object(v, p) for p in N.LOCATION))
+    text = lambda p: N._get(loc, p, "string")
+    kind = F.lower(F.trim(F.coalesce(text("$.source.type"), text("$.type"), F.lit(""))))
+    url = F.coalesce(text("$.landing_page_url"), F.lit(""))
+    return N.parsed(table(spark, d, "raw_works")).select(
+        "record_id", "result", F.when(kind == "journal", "published").otherwise("preprint").alias("state"), F.coalesce(I._some(kind), I._some(text("$.version"))).alias("location_type"),
+        I._some(F.regexp_extract(url, r"(?:abs|pdf)/(\d{4}\.\d{4,5})", 1)).alias("arxiv"), F.lower(url).contains("deposit").alias("repository"), N._first(v, N.TITLE, "string").alias("title"))
+
+
+@query(HALVES + """ SELECT coalesce(n.work_key, o.work_key) AS work_key, CASE WHEN len(n.topics) > 0 THEN len(n.topics) ELSE coalesce(len(o.topics), 0) END AS topics, CASE WHEN len(n.authors) > 0 THEN len(n.authors) ELSE coalesce(len(o.authors), 0) END AS authors,
+  CASE WHEN len(n.categories) > 0 THEN n.categories ELSE coalesce(o.categories, []) END AS categories, coalesce(n.state, o.state) AS state FROM new n FULL JOIN old o ON o.work_key = n.work_key""")
+def f27_restored(spark, d):
+    """Merged rows in which what a fresh run filled overrides what was stored, and what it left empty does not."""
+    o, n = halves(spark, d)
+    j = o.alias("o").join(n.alias("n"), F.col("o.work_key") == F.col("n.work_key"), "full")
+    size = lambda c: F.when(F.size(f"n.{c}") > 0, F.size(f"n.{c}")).otherwise(F.greatest(F.coalesce(F.size(f"o.{c}"), F.lit(0)), F.lit(0))).cast("bigint").alias(c)
+    return j.select(F.coalesce("n.work_key", "o.work_key").alias("work_key"), size("topics"), size("authors"),
+                    F.when(F.size("n.categories") > 0, F.col("n.categories")).otherwise(F.coalesce("o.categories", F.array().cast("array<string>"))).alias("categories"), F.coalesce("n.state", "o.state").alias("state"))
+
+
+_KNOWN = ["id", "display_name", "publication_date", "cited_by_count", "authorships", "authors", "primary_location", "topics", "referenced_works", "work_key", "bibliography", "graph", "entities"]
+
+
+@query(f"""WITH r AS (SELECT DISTINCT record_id, collector, payload FROM raw_works), k AS (SELECT collector, CASE WHEN NOT json_valid(payload) OR json_type(payload) <> 'OBJECT' THEN NULL ELSE json_keys(payload) END AS k FROM r)
+SELECT collector, count(*) FILTER (WHERE k IS NOT NULL AND len(list_filter(k, lambda x: NOT list_contains({_KNOWN}, x))) = 0) AS strict, count(*) FILTER (WHERE len(list_filter(k, lambda x: NOT list_contains({_KNOWN}, x))) > 0 AND len(list_filter(k, lambda x: list_contains({_KNOWN}, x))) > 0) AS recovered,
+  count(*) FILTER (WHERE k IS NULL OR len(list_filter(k, lambda x: list_contains({_KNOWN}, x))) = 0) AS lost FROM k GROUP BY collector""")
+def sc36_recovered(spark, d):
+    """Records that keep to the known members, those saved by dropping unknown ones, and those lost."""
+    r = table(spark, d, "raw_works").select("record_id", "collector", "payload").distinct()
+    k = F.when(F.try_variant_get(F.try_parse_json("payload"), "$", "map<string,variant>").isNotNull(), F.json_object_keys("payload"))
+    known = F.array(*map(F.lit, _KNOWN))
+    x = r.select("collector", F.coalesce(F.size(F.array_intersect(k, known)), F.lit(0)).alias("in_"), F.coalesce(F.size(F.array_except(k, known)), F.lit(0)).alias("out"))
+    return x.groupBy("collector").agg(F.count_if((F.col("out") <= 0) & (F.col("in_") > 0)).alias("strict"), F.count_if((F.col("out") > 0) & (F.col("in_") > 0)).alias("recovered"), F.count_if(F.col("in_") <= 0).alias("lost"))
