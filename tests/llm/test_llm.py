@@ -302,3 +302,20 @@ def test_blocking_recall_against_all_pairs(spark):
     true = {tuple(r) for r in every.where(model.probability() >= 0.5).select("left_id", "right_id").collect()}
     got = {tuple(r) for r in scored.where("probability >= 0.5").select("left_id", "right_id").collect()}
     assert got <= true and len(true) > 10 and len(got) >= 0.9 * len(true)
+
+
+def test_over_full_keys_are_split_and_keep_their_pairs(spark):
+    """One author on all records: with a low bound on keys the pairs under one key fall and the true pairs stay."""
+    rng = random.Random(6)
+    pool = [f"word{i}" for i in range(40)]
+    titles = [" ".join(rng.sample(pool, 7)) for _ in range(300)]
+    shape = "id long, title string, people array<struct<s:string,i:string>>, words array<string>"
+    rows = lambda: [(i, t, [("prolific", "p")], t.split()) for i, t in enumerate(titles)]
+    df = spark.createDataFrame(rows(), shape).withColumn("bits", matching.outline(F.col("words")))
+    assert matching.over_full(matching.keyed(df, "id", "bits"), least=10_000) is None
+    full = matching.over_full(matching.keyed(df, "id", "bits"), least=8)
+    assert len(full.value) > 0
+    pairs = lambda f: matching.keyed(df, "a", "x", f).join(matching.keyed(df, "b", "y", f), "k").select("a", "b").distinct()
+    wide, split = pairs(None), pairs(full)
+    assert split.count() < 0.5 * wide.count() and split.where("a = b").count() == 300
+    assert len(matching.over_full(matching.keyed(df, "id", "bits"), least=8, most=20).value) <= 20
