@@ -312,10 +312,10 @@ def test_over_full_keys_are_split_and_keep_their_pairs(spark):
     shape = "id long, title string, people array<struct<s:string,i:string>>, words array<string>"
     rows = lambda: [(i, t, [("prolific", "p")], t.split()) for i, t in enumerate(titles)]
     df = spark.createDataFrame(rows(), shape).withColumn("bits", matching.outline(F.col("words")))
-    assert matching.over_full(matching.keyed(df, "id", "bits"), least=10_000) is None
-    full = matching.over_full(matching.keyed(df, "id", "bits"), least=8)
+    assert matching.over_full(matching.keyed(df, "id", "bits", False), least=10_000) is None
+    full = matching.over_full(matching.keyed(df, "id", "bits", False), least=8)
     assert len(full.value) > 0
-    pairs = lambda f: matching.keyed(df, "a", "x", f).join(matching.keyed(df, "b", "y", f), "k").select("a", "b").distinct()
+    pairs = lambda f: matching.keyed(df, "a", "x", True, f).join(matching.keyed(df, "b", "y", False, f), "k").select("a", "b").distinct()
     wide, split = pairs(None), pairs(full)
     assert split.count() < 0.5 * wide.count() and split.where("a = b").count() == 300
-    assert len(matching.over_full(matching.keyed(df, "id", "bits"), least=8, most=20).value) <= 20
+    assert len(matching.over_full(matching.keyed(df, "id", "bits", False), least=8, most=20).value) <= 20
