@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillspark.durable import save
+from quillspark.operators.ranking import places
 
 
 def reference_edges(works: DataFrame, key: str, refs: str, *carry: str) -> DataFrame:
@@ -18,26 +19,26 @@ def coupling(edges: DataFrame, key: str, ref: str, date: str, min_shared: int =
     ``a`` is the earlier work (the smaller key on one date); both dates lie within ``window_days`` of each other, ends
     included. Edges must be distinct; a work has one date, of several the first. Null keys, references and dates are ignored.
 
-    An exact prefix filter: a work's references stand in one order for all works, the rarest first. Two works that share
+    An exact prefix filter: references are numbered, the rarest first, and a work's list stands in that order. Two works that share
     ``min_shared`` of them share one that is not among the last ``min_shared - 1`` of either, so those, the works cited by
-    everyone, are no join keys. The key also holds the date in steps of the window. Pairs are then verified on whole lists.
+    everyone, are no join keys. The key also holds the date in steps of the window. Lists go along as numbers: a pair is verified where
+    it meets, and counts only where its first common reference is the key, so pairs are never shuffled.
     """
     e = edges.select(F.col(key).alias("k"), F.col(ref).alias("r"), F.col(date).alias("d")).where("k is not null and r is not null and d is not null")
-    f = e.groupBy("r").agg(F.count("*").alias("f"))
-    listed = F.array_sort(F.collect_list(F.struct("f", "r")))
-    works = e.join(f, "r").groupBy("k").agg(F.min("d").alias("d"), F.transform(listed, lambda x: x["r"]).alias("refs"))
-    works = save(works.where(F.size("refs") >= min_shared).withColumn("n", F.size("refs")))
-    rare = F.explode(F.slice("refs", F.lit(1), F.col("n") - (min_shared - 1))).alias("r")
+    numbers = places(e.groupBy("r").agg(F.count("*").alias("f")), [F.asc("f"), F.asc("r")], "i").select("r", "i")
+    works = e.join(numbers, "r").groupBy("k").agg(F.min("d").alias("d"), F.array_sort(F.collect_list("i")).alias("refs"))
+    works = save(works.where(F.size("refs") >= min_shared))
+    rare = F.explode(F.slice("refs", F.lit(1), F.size("refs") - (min_shared - 1))).alias("i")
     step = F.lit(0) if window_days is None else F.floor(F.unix_date(F.col("d").cast("date")) / max(window_days, 1))
-    x = works.select(F.col("k").alias("a"), F.col("d").alias("da"), F.array_distinct(F.array(step, step if window_days is None else step + 1)).alias("s"), rare)
-    x = x.select("a", "da", "r", F.explode("s").alias("s"))
-    y = works.select(F.col("k").alias("b"), F.col("d").alias("db"), step.alias("s"), rare)
-    near = F.lit(True) if window_days is None else F.datediff("db", "da") <= window_days
-    met = x.join(y, ["r", "s"]).where(near & ((F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b"))))).select("a", "b").distinct()
-    left = works.select(F.col("k").alias("a"), F.col("refs").alias("ra"))
-    right = works.select(F.col("k").alias("b"), F.col("refs").alias("rb"), F.col("d").alias("date"))
-    return (met.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("ra", "rb")).cast("bigint")).where(F.col("shared") >= min_shared)
-            .select("a", "b", "shared", F.round(F.col("shared") / (F.size("ra") + F.size("rb") - F.col("shared")), 6).alias("jaccard"), "date"))
+    x = works.select(F.col("k").alias("a"), F.col("d").alias("da"), F.col("refs").alias("ra"), (F.array(step) if window_days is None else F.array(step, step + 1)).alias("s"), rare)
+    x = x.select("a", "da", "ra", "i", F.explode("s").alias("s"))
+    y = works.select(F.col("k").alias("b"), F.col("d").alias("date"), F.col("refs").alias("rb"), step.alias("s"), rare)
+    near = F.lit(True) if window_days is None else F.datediff("date", "da") <= window_days
+    order = (F.col("da") < F.col("date")) | ((F.col("da") == F.col("date")) & (F.col("a") < F.col("b")))
+    common = F.array_intersect("ra", "rb")
+    met = x.join(y, ["i", "s"]).where(near & order & (F.size(common) >= min_shared) & (F.get(common, 0) == F.col("i")))
+    shared = F.size(common).cast("bigint")
+    return met.select("a", "b", shared.alias("shared"), F.round(shared / (F.size("ra") + F.size("rb") - shared), 6).alias("jaccard"), "date")
 
 
 def neighbours(pairs: DataFrame, k: int = 3) -> DataFrame:

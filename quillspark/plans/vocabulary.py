@@ -354,7 +354,7 @@ def s32_s51_dates_and_ids(spark, d):
         F.regexp_replace("abstract", "^(Abstract: |Abstract |ABSTRACT |Summary )", "").alias("body"))
 
 
-@query("""WITH r AS (SELECT DISTINCT record_id, payload FROM raw_works) SELECT record_id, json_valid(payload) AND json_type(payload) = 'OBJECT' AS readable FROM r""")
+@query("""WITH r AS (SELECT DISTINCT record_id, payload FROM raw_works) SELECT record_id, CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT' ELSE false END AS readable FROM r""")
 def s44_json_of_answers(spark, d):
     """JSON out of answers that wrap it in a fence and talk around it."""
     r = table(spark, d, "raw_works").select("record_id", "payload").distinct()
