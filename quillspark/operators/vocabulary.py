@@ -67,17 +67,18 @@ def matched(terms: DataFrame, term: str, vocabulary: DataFrame, least: float = 8
     return exact.where("id is not null").select("term", "id", F.lit(1.0).alias("confidence")).union(rest)
 
 
-def scan(texts: DataFrame, key: str, text: Column, vocabulary: DataFrame, most_words: int) -> DataFrame:
-    """``(key, id, confidence)``: surfaces of at most ``most_words`` words that stand in a text, joined on its word runs.
+def scan(texts: DataFrame, key: str, text: Column, vocabulary: DataFrame) -> DataFrame:
+    """``(key, id, confidence)``: surfaces that stand in a text as whole words.
 
     ``vocabulary`` has ``surface`` (in the spelling of ``surface``) and ``id``; surfaces under three letters don't count. Confidence
-    grows with the words of the longest surface found. The runs of each text are distinct before the join, which is on the run.
+    grows with the words of the longest surface found. The distinct words of each text meet the first words of surfaces by a hash join;
+    what meets is looked up in the text, which is joined by key, so long texts are never repeated for each of their words.
     """
-    w = F.filter(F.split(squeeze(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " ")), " "), lambda x: x != "")
-    runs = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.when(F.size("w") >= n, F.transform(
-        F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>")))))
-    v = vocabulary.where("length(surface) >= 3").select("surface", "id")
-    hits = texts.select(key, w.alias("w")).select(key, F.explode(runs).alias("surface")).join(v, "surface")
+    plain = squeeze(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " "))
+    v = vocabulary.where("length(surface) >= 3").select(F.split_part("surface", F.lit(" "), F.lit(1)).alias("first"), "surface", "id")
+    words = texts.select(key, F.explode(F.array_distinct(F.split(plain, " "))).alias("first")).where("first <> ''")
+    met = words.join(v, "first").select(key, "surface", "id")
+    hits = met.join(texts.select(key, F.concat(F.lit(" "), plain, F.lit(" ")).alias("x")), key).where(F.contains(F.col("x"), F.concat(F.lit(" "), "surface", F.lit(" "))))
     return hits.groupBy(key, "id").agg(F.max(F.least(F.lit(0.95), 0.6 + 0.02 * F.size(F.split("surface", " ")))).alias("confidence"))
 
 

@@ -42,9 +42,9 @@ def s16_vocabulary(spark, d):
 @query(PP + rf""", {_SURFACES}, x AS (SELECT item_id, ' ' || trim(regexp_replace(regexp_replace(lower(coalesce(title, '') || ' ' || coalesce(abstract, '')), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) || ' ' AS x FROM p)
 SELECT item_id, id, max(least(0.95, 0.6 + 0.02 * len(string_split(surface, ' '))))::DOUBLE AS confidence FROM x JOIN v ON len(surface) >= 3 AND contains(x, ' ' || surface || ' ') GROUP BY item_id, id""")
 def s15_vocabulary_scan(spark, d):
-    """Vocabulary terms found in title or abstract, by a hash join on word runs."""
+    """Vocabulary terms found in title or abstract, by a hash join on their first words."""
     x = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
-    return V.scan(papers(spark, d), "item_id", x, V.flattened(families(spark)), most_words=4)
+    return V.scan(papers(spark, d), "item_id", x, V.flattened(families(spark)))
 
 
 @query(PP + rf""", {_SURFACES}, x AS (SELECT ' ' || trim(regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) || ' ' AS x, item_id, day FROM p),
@@ -52,7 +52,7 @@ def s15_vocabulary_scan(spark, d):
 def s17_terms_with_parents(spark, d):
     """Term nodes with their family."""
     v = V.flattened(families(spark))
-    hits = V.scan(papers(spark, d), "item_id", F.coalesce("title", F.lit("")), v, most_words=4)
+    hits = V.scan(papers(spark, d), "item_id", F.coalesce("title", F.lit("")), v)
     parents = v.groupBy("id").agg(F.max("parent").alias("parent"))
     return (hits.join(papers(spark, d).select("item_id", "day"), "item_id").join(parents, "id").groupBy("id", "parent")
             .agg(F.count("*").alias("mentions"), F.min("day").alias("first_seen")))
