@@ -319,3 +319,19 @@ def test_over_full_keys_are_split_and_keep_their_pairs(spark):
     wide, split = pairs(None), pairs(full)
     assert split.count() < 0.5 * wide.count() and split.where("a = b").count() == 300
     assert len(matching.over_full(matching.keyed(df, "id", "bits", False), least=8, most=20).value) <= 20
+
+
+def test_candidates_keep_every_pair_under_over_full_keys(spark):
+    """One author on 600 records of few words: all pairs that share a key and words come out, however many records stand under it."""
+    rng = random.Random(8)
+    titles = [rng.sample([f"word{i}" for i in range(6)], 3) for _ in range(600)]
+    df = spark.createDataFrame([(i, " ".join(t), [("prolific", "p")], t) for i, t in enumerate(titles)],
+                               "id long, title string, people array<struct<s:string,i:string>>, words array<string>").withColumn("bits", matching.outline(F.col("words")))
+    hot = matching.over_full(matching.keyed(df, "id", "bits", False))
+    x, y = matching.keyed(df, "left_id", "x", True), matching.keyed(df, "right_id", "y", False)
+    fit = F.bit_count(F.col("x").bitwiseAND(F.col("y"))) >= 0.4 * F.least(F.bit_count("x"), F.bit_count("y"))
+    want = {tuple(r) for r in x.join(y, "k").where(fit).select("left_id", "right_id").collect()}
+    got = [tuple(r) for r in matching.candidates(df, df).collect()]
+    assert hot is not None and len(got) == len(set(got)) and set(got) == want
+    spread = matching.keyed(df, "a", "x", True, hot=hot).join(matching.keyed(df, "b", "y", False, hot=hot), "k")
+    assert spread.count() == x.join(y, "k").count()
