@@ -7,11 +7,14 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quillspark.durable import save
 from quillspark.functions.text import squeeze
 from quillspark.operators.merge import lcs_ratio
 
 #: Most surfaces of a vocabulary that is sent to the tasks.
 MAX_SURFACES = 200_000
+#: Most hashes of common runs that are sent to the tasks; more are joined by a shuffle.
+MAX_COMMON = 2_000_000
 
 
 def surface(c: Column) -> Column:
@@ -102,6 +105,25 @@ def mined(texts: DataFrame, key: str, text: Column, stop, lengths=(2, 3), least:
     return g.groupBy("phrase").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
+def shared_runs(docs: DataFrame, key: str, text: str, words: int = 8, least: int = 5, most_common: int = MAX_COMMON) -> DataFrame:
+    """``(shingle, docs)``: runs of ``words`` words, parted by single spaces, that stand in at least ``least`` documents. Texts of one
+    document (rows with one key) count once.
+
+    Documents are counted by the hash of the run first: only hashes and counts are shuffled, added up in the tasks before. The words
+    of runs with a common hash are then counted as they are, so equal hashes of different runs do no harm. No row holds a text for
+    each of its runs; texts are shuffled only where documents have several rows.
+    """
+    x = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    several = x.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
+    d = x.groupBy("k").agg(F.collect_set("t").alias("ts")) if several else x.select("k", F.array_compact(F.array("t")).alias("ts"))
+    ws = F.filter(F.transform("ts", lambda t: F.split(t, " ")), lambda w: F.size(w) >= words)
+    runs = F.transform(ws, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (words - 1)), lambda i: F.array_join(F.slice(w, i, words), " ")))
+    r = d.select(F.explode(F.array_distinct(F.flatten(runs))).alias("shingle")).withColumn("h", F.xxhash64("shingle"))
+    common = save(r.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("h"))
+    met = r.join(F.broadcast(common) if common.count() <= most_common else common, "h", "left_semi")
+    return met.groupBy("shingle").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
+
+
 #: The words of a run and where it begins.
 RUN = T.StructType([T.StructField("words", T.IntegerType()), T.StructField("at", T.IntegerType())])
 

@@ -118,13 +118,8 @@ def s39_longest_runs(spark, d):
 @query(r"""WITH g AS (SELECT doc_id, w[i:i+7] AS g FROM (SELECT doc_id, string_split(text, ' ') AS w, unnest(range(1, len(string_split(text, ' ')) - 6)) AS i FROM (SELECT DISTINCT doc_id, text FROM documents))),
  u AS (SELECT DISTINCT doc_id, array_to_string(g, ' ') AS g FROM g) SELECT g AS shingle, count(*) AS docs FROM u GROUP BY g HAVING count(*) >= 5""")
 def s39_shared_runs(spark, d):
-    """Runs of eight words that stand in at least five documents. Runs are counted by hash; their words are fetched for the common ones alone."""
-    docs = table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w")).where(F.size("w") >= 8)
-    runs = F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.xxhash64(F.slice("w", i, 8)))
-    h = docs.select("doc_id", F.explode(F.array_distinct(runs)).alias("h")).distinct()
-    common = h.groupBy("h").agg(F.count("*").alias("docs")).where("docs >= 5").select("h")
-    at = docs.select("doc_id", "w", F.posexplode(runs).alias("i", "h")).join(common, "h", "left_semi").select("doc_id", F.array_join(F.slice("w", F.col("i") + 1, 8), " ").alias("shingle"))
-    return at.distinct().groupBy("shingle").agg(F.count("*").alias("docs")).where("docs >= 5")
+    """Runs of eight words that stand in at least five documents."""
+    return V.shared_runs(table(spark, d, "documents"), "doc_id", "text")
 
 
 def _sql_signal(cases, other):

@@ -181,3 +181,33 @@ def test_signals_and_lines(spark):
 def test_json_paths(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": [1, "x", null, {"c": true}]}, "d": {}, "e": 2.5}'), (2, "{"), (3, None), (4, '"s"')], "k int, j string")
     assert {tuple(r) for r in N.json_paths(df, "k", "j").collect()} == {(1, "$.a.b[0]", "1"), (1, "$.a.b[1]", "x"), (1, "$.a.b[3].c", "true"), (1, "$.e", "2.5"), (4, "$", "s")}
+
+
+def test_shared_runs_against_brute_force(spark):
+    """Documents of several rows count once; blanks, short and null texts; few and many common runs."""
+    rng = random.Random(11)
+    line = [f"w{i}" for i in range(12)]
+    rows = [(i % 25 or None, " ".join(rng.choice([line[rng.randrange(4):], line[:9] + ["x"] + line, ["", *line, ""]])) * rng.choice([1, 1, 2])) for i in range(60)]
+    rows += [(90, None), (91, ""), (92, "a b c")]
+    of = {}
+    for k, t in rows:
+        w = (t or "").split(" ")
+        of.setdefault(k, set()).update(" ".join(w[i:i + 8]) for i in range(len(w) - 7))
+    want = {g: n for g, n in Counter(g for gs in of.values() for g in gs).items() if n >= 5}
+    for r in (rows, list({k: (k, t) for k, t in rows}.values())):
+        held = want if r is rows else None
+        got = [{x.shingle: x.docs for x in V.shared_runs(spark.createDataFrame(r, "doc_id long, text string"), "doc_id", "text", most_common=m).collect()} for m in (10_000, 0)]
+        assert got[0] == got[1] and len(got[0]) > 10 and (held is None or got[0] == held)
+
+
+def test_shared_runs_join_no_words_of_documents(spark):
+    """No join carries the list of words once for each run of a document."""
+    from quillspark.plans.vocabulary import s39_shared_runs
+
+    def joins(p):
+        kids = p.children()
+        return [*([p] if p.nodeName() == "Join" else []), *(j for i in range(kids.size()) for j in joins(kids.apply(i)))]
+
+    found = joins(s39_shared_runs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan())
+    kinds = [out.apply(i).dataType().simpleString() for j in found for out in (j.left().output(), j.right().output()) for i in range(out.size())]
+    assert kinds and not [k for k in kinds if k.startswith("array")]
