@@ -19,32 +19,37 @@ def coupling(edges: DataFrame, key: str, ref: str, date: str, min_shared: int =
     ``a`` is the earlier work (the smaller key on one date); both dates lie within ``window_days`` of each other, ends
     included. Edges must be distinct; a work has one date, of several the first. Null keys, references and dates are ignored.
 
-    An exact prefix filter: references are numbered, the rarest first, and a work's list stands in that order. Two works that share
+    An exact prefix filter: references are numbered, the rarest first, and a work's list stands in that order; what a single work cites
+    counts for its size alone. Two works that share
     ``min_shared`` of them share one that is not among the last ``min_shared - 1`` of either, so those, the works cited by
     everyone, are no join keys. The key also holds the date in steps of the window. Lists go along as numbers: a pair is verified where
-    it meets, and counts only where its first common reference is the key, so pairs are never shuffled.
+    it meets, and counts only where its first common reference is the key, so pairs are never shuffled. What follows the key in a list
+    goes along as 64 bits too: where these bits are all different on one side, two lists whose bits have too few in common are not compared.
     """
     e = edges.select(F.col(key).alias("k"), F.col(ref).alias("r"), F.col(date).alias("d")).where("k is not null and r is not null and d is not null")
-    numbers = places(e.groupBy("r").agg(F.count("*").alias("f")), [F.asc("f"), F.asc("r")], "i").select("r", "i")
-    works = e.join(numbers, "r").groupBy("k").agg(F.min("d").alias("d"), F.array_sort(F.collect_list("i")).alias("refs"))
+    numbers = places(e.groupBy("r").agg(F.count("*").alias("f")).where("f > 1"), [F.asc("f"), F.asc("r")], "i").select("r", "i")
+    works = e.join(numbers, "r", "left").groupBy("k").agg(F.min("d").alias("d"), F.count("*").alias("n"), F.array_sort(F.collect_list("i")).alias("refs"))
     works = save(works.where(F.size("refs") >= min_shared))
-    rare = F.explode(F.slice("refs", F.lit(1), F.size("refs") - (min_shared - 1))).alias("i")
+    bits = lambda v: F.aggregate(v, F.lit(0).cast("bigint"), lambda o, i: o.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(i, F.lit(64)).cast("int"))))
+    rare = F.inline(F.transform(F.sequence(F.lit(1), F.size("refs") - (min_shared - 1)), lambda p: F.struct(
+        F.get("refs", p - 1).alias("i"), bits(F.slice("refs", p + 1, F.size("refs") - p)).alias("o"), (F.size("refs") - p).alias("rest"))))
     step = F.lit(0) if window_days is None else F.floor(F.unix_date(F.col("d").cast("date")) / max(window_days, 1))
-    x = works.select(F.col("k").alias("a"), F.col("d").alias("da"), F.col("refs").alias("ra"), (F.array(step) if window_days is None else F.array(step, step + 1)).alias("s"), rare)
-    x = x.select("a", "da", "ra", "i", F.explode("s").alias("s"))
-    y = works.select(F.col("k").alias("b"), F.col("d").alias("date"), F.col("refs").alias("rb"), step.alias("s"), rare)
+    x = works.select(F.col("k").alias("a"), F.col("d").alias("da"), F.col("n").alias("na"), F.col("refs").alias("ra"), (F.array(step) if window_days is None else F.array(step, step + 1)).alias("s"), rare)
+    x = x.select("a", "da", "na", "ra", "i", F.col("o").alias("oa"), (F.bit_count("o") < F.col("rest")).alias("crowded"), F.explode("s").alias("s"))
+    y = works.select(F.col("k").alias("b"), F.col("d").alias("date"), F.col("n").alias("nb"), F.col("refs").alias("rb"), step.alias("s"), rare).drop("rest").withColumnRenamed("o", "ob")
     near = F.lit(True) if window_days is None else F.datediff("date", "da") <= window_days
     order = (F.col("da") < F.col("date")) | ((F.col("da") == F.col("date")) & (F.col("a") < F.col("b")))
-    common = F.array_intersect("ra", "rb")
-    met = x.join(y, ["i", "s"]).where(near & order & (F.size(common) >= min_shared) & (F.get(common, 0) == F.col("i")))
-    shared = F.size(common).cast("bigint")
-    return met.select("a", "b", shared.alias("shared"), F.round(shared / (F.size("ra") + F.size("rb") - shared), 6).alias("jaccard"), "date")
+    likely = F.col("crowded") | (F.bit_count(F.col("oa").bitwiseAND(F.col("ob"))) >= min_shared - 1)
+    # the generator keeps the common references from being computed again at each use
+    met = x.join(y, ["i", "s"]).where(near & order & likely).select("a", "b", "i", "date", (F.col("na") + F.col("nb")).alias("both"), F.inline(F.array(F.struct(F.array_intersect("ra", "rb").alias("common")))))
+    met = met.where((F.size("common") >= min_shared) & (F.get("common", 0) == F.col("i"))).withColumn("shared", F.size("common").cast("bigint"))
+    return met.select("a", "b", "shared", F.round(F.col("shared") / (F.col("both") - F.col("shared")), 6).alias("jaccard"), "date")
 
 
 def neighbours(pairs: DataFrame, k: int = 3) -> DataFrame:
     """``(item, rank, other, shared, jaccard)``: the k closest partners of each work, seen from both ends."""
-    both = (pairs.select(F.col("a").alias("item"), F.col("b").alias("other"), "shared", "jaccard")
-            .union(pairs.select(F.col("b").alias("item"), F.col("a").alias("other"), "shared", "jaccard")))
+    end = lambda item, other: F.struct(F.col(item).alias("item"), F.col(other).alias("other"), "shared", "jaccard")
+    both = pairs.select(F.inline(F.array(end("a", "b"), end("b", "a"))))  # a union would compute the pairs twice
     w = Window.partitionBy("item").orderBy(F.desc("shared"), F.desc("jaccard"), "other")
     return both.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k).select("item", "rank", "other", "shared", "jaccard")
 

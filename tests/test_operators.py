@@ -260,3 +260,31 @@ def test_reference_base_and_index_add_unclaimed_raw_works(spark):
     assert {k: (x.from_raw, x.title) for k, x in index.items()} == {"openalex:W1": (False, "One"), "openalex:W3": (False, "Three"), "openalex:W20": (True, "T"),
                                                                     "doi:10.1000/one": (True, "T"), "doi:10.1000/z": (True, "T")}
     assert index["openalex:W20"].first_authors == list("abcde") and index["openalex:W20"].year == 2026 and index["doi:10.1000/z"].doi == "10.1000/z"
+
+
+def joins(p):
+    kids = p.children()
+    return (p.nodeName() == "Join") + sum(joins(kids.apply(i)) for i in range(kids.size()))
+
+
+def test_neighbours_compute_their_pairs_once(spark):
+    from quillspark.plans.citing import j7_paper_coupling, w12_paper_neighbours
+    d = "/root/testdata/sf0.001"
+    n = [joins(f(spark, d)._jdf.queryExecution().optimizedPlan()) for f in (j7_paper_coupling, w12_paper_neighbours)]
+    assert n[0] == n[1] > 0
+
+
+def test_coupling_where_references_share_bits(spark):
+    """Numbers of references that differ by a multiple of 64 share a bit; the pairs are those of brute force."""
+    rng = random.Random(12)
+    works = [(i, rng.sample(range(150), rng.randrange(1, 40)), 1 + i % 28) for i in range(120)]
+    works += [(200 + i, [1000 + 64 * j for j in range(6)] + list(range(2000 + 200 * i, 2100 + 200 * i)), 3) for i in range(6)]
+    e = spark.createDataFrame([(k, r, date(2026, 1, d)) for k, refs, d in works for r in refs], "k int, r int, d date")
+    for least, days in ((1, 3), (3, 10), (4, None)):
+        want = {}
+        for a, ra, da in works:
+            for b, rb, db in works:
+                n = len(set(ra) & set(rb))
+                if (da, a) < (db, b) and n >= least and (days is None or db - da <= days):
+                    want[a, b] = n
+        assert {(r.a, r.b): r.shared for r in C.coupling(e, "k", "r", "d", least, days).collect()} == want and want
