@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from quillspark.durable import save
 from quillspark.functions.ids import bare_segment
 from quillspark.operators import citations as C, graph as G, metrics as M, ranking as K
 from quillspark.plans import citing, daily, quality, records, vocabulary, words
@@ -481,7 +482,8 @@ def so5_journal_score(spark, d):
 
 @query(f"{citing._PAIRS} SELECT a, b, shared, row_number() OVER (ORDER BY shared DESC, a, b) AS place FROM pairs")
 def so8_coupling_order(spark, d):
-    return K.places(citing.paper_pairs(spark, d).select("a", "b", "shared"), [F.desc("shared"), F.asc("a"), F.asc("b")])
+    # saved, since places() reads its rows twice, once to draw the bounds of its ranges
+    return K.places(save(citing.paper_pairs(spark, d).select("a", "b", "shared")), [F.desc("shared"), F.asc("a"), F.asc("b")])
 
 
 @query(f"""WITH {_in(citing.SQL['so9_pair_criteria'], 'c')}, e AS (SELECT a AS item, b AS other, shared::DOUBLE AS shared, jaccard, cosine FROM c UNION ALL SELECT b, a, shared, jaccard, cosine FROM c), u AS (UNPIVOT e ON shared, jaccard, cosine INTO NAME criterion VALUE v)

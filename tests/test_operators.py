@@ -288,3 +288,12 @@ def test_coupling_where_references_share_bits(spark):
                 if (da, a) < (db, b) and n >= least and (days is None or db - da <= days):
                     want[a, b] = n
         assert {(r.a, r.b): r.shared for r in C.coupling(e, "k", "r", "d", least, days).collect()} == want and want
+
+
+def test_coupling_order_computes_its_pairs_once(spark, monkeypatch):
+    """What ``places`` reads twice is a saved table."""
+    from quillspark.plans import measure
+    given = []
+    monkeypatch.setattr(measure.K, "places", lambda df, *a: given.append(df) or df)
+    measure.so8_coupling_order(spark, "/root/testdata/sf0.001")
+    assert joins(given[0]._jdf.queryExecution().optimizedPlan()) == 0
