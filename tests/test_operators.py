@@ -138,6 +138,53 @@ def test_researcher_projection_keeps_hot_references_and_single_shares(spark):
     assert {(r.a, r.b): r.weight for r in G.salted_projection(tags, "r", "p", 4).collect()} == want
 
 
+def _shuffled_rows(spark, run):
+    """What ``run`` gives, and the rows that its jobs wrote to shuffles."""
+    sc = spark.sparkContext
+    sc.setJobGroup("shuffled rows", "")
+    try:
+        got = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store, tracker = sc._jsc.sc().statusStore(), sc.statusTracker()
+    ran = {s for j in tracker.getJobIdsForGroup("shuffled rows") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)}
+    return got, sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in ran)
+
+
+def test_salted_projection_shuffles_tags_and_not_their_pairs(spark):
+    tags = spark.range(400).select(F.explode(F.array(*map(F.lit, "xyz"))).alias("i"), F.concat(F.lit("t"), "id").alias("t"))
+    pairs, rows = _shuffled_rows(spark, lambda: G.salted_projection(tags, "i", "t").collect())
+    assert len({(r.a, r.b) for r in pairs}) == len(pairs) == 400 * 399 // 2 and {r.weight for r in pairs} == {3} and all(r.a < r.b for r in pairs)
+    assert 0 < rows < 400 * 3 * 2 + 400 * 12
+
+
+def test_cells_are_counted_alike_in_steps_of_any_size():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for sides, n, items in (([0], 40, 9), ([-1, 1], 60, 300), ([-1, 1], 50, 5), ([1], 9, 4), ([-1], 9, 4), ([0], 1, 4)):
+        side = rng.choice(sides, n)
+        sets = [set(rng.integers(0, items, rng.integers(0, 12)).tolist()) for _ in range(n)]
+        want = {(min(u, v), max(u, v)): len(sets[u] & sets[v]) for u in range(n) for v in range(n) if u != v and sides != [1] and sides != [-1]
+                and (side[u] == 0 or side[u] < side[v]) and sets[u] & sets[v]}
+        for most in (1, 7, 50, 10_000):
+            parts = list(G._counted(side, np.array([len(x) for x in sets]), np.array([i for x in sets for i in x], dtype=np.int32), most))
+            got = [(min(u, v), max(u, v), w) for p in parts for u, v, w in zip(*(x.tolist() for x in p))]
+            assert len({g[:2] for g in got}) == len(got) and {g[:2]: g[2] for g in got} == want
+
+
+def test_researcher_projection_of_papers_as_they_come(spark, tmp_path):
+    """Repeated records, records without a key, authors without an id, no authors or references, and references that differ by their form only."""
+    from quillspark.plans.citing import a7_researcher_projection
+
+    works = ["https://openalex.org/W1", "w1", "W2", None, " "]
+    rows = [(1, [(a,) for a in ("https://x/a1", "A2", None)], works), (1, [(a,) for a in ("https://x/a1", "A2", None)], works), (2, [("a3",), ("A2",)], ["W2"]),
+            (3, None, ["W2"]), (4, [("A4",)], None), (None, [("A5",)], ["W1", "W2"]), (5, [("A6",)], ["W9"])]
+    shape = "item_id long, bibliography struct<authors:array<struct<openalex:string>>>, graph struct<referenced_works:array<string>>"
+    spark.createDataFrame([(k, (a,), (w,)) for k, a, w in rows], shape).write.parquet(f"{tmp_path}/items.parquet")
+    assert {tuple(r) for r in a7_researcher_projection(spark, str(tmp_path)).collect()} == {("A1", "A2", 2), ("A1", "A3", 1), ("A2", "A3", 1)}
+
+
 PAPER = ("item_id long, work_key string, arxiv string, doi string, openalex string, url string, abstract string, cited long, state string, "
          "collectors array<string>, title string, day date, authors array<struct<name:string,orcid:string>>, refs array<string>, source_name string, collected_at long, "
          "categories array<string>, topics array<struct<id:string>>")
