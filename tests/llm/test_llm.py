@@ -335,3 +335,43 @@ def test_candidates_keep_every_pair_under_over_full_keys(spark):
     assert hot is not None and len(got) == len(set(got)) and set(got) == want
     spread = matching.keyed(df, "a", "x", True, hot=hot).join(matching.keyed(df, "b", "y", False, hot=hot), "k")
     assert spread.count() == x.join(y, "k").count()
+
+
+def test_edit_distances_of_many_pairs():
+    rng = random.Random(9)
+    for letters in ("ab", "abcdefgh é", "aé漢😀"):
+        a = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 3, 20, 60]))) for _ in range(200)]
+        b = [x if rng.random() < 0.1 else "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 18, 66]))) for x in a]
+        for cells in (1, 300, 1 << 17):
+            assert kernels.edit_distances(a, b, cells).tolist() == [edit(x, y) for x, y in zip(a, b)]
+    # beyond what one byte counts: distances, kinds of letters, lengths
+    wide = "".join(chr(200 + i) for i in range(700))
+    assert kernels.edit_distances(["ab" * 200, wide, ""], ["ba" * 200, wide[::2], "x" * 70_000]).tolist() == [2, 350, 70_000]
+    assert kernels.edit_distances([], []).tolist() == []
+
+
+def test_records_and_features_compute_names_and_edits_once(spark):
+    d = "/root/testdata/sf0.001"
+    left, right = matching.item_records(spark.read.parquet(f"{d}/items.parquet")), matching.listing_records(spark.read.parquet(f"{d}/listings.parquet"))
+    plan = lambda f: f._jdf.queryExecution().analyzed().toString()
+    assert plan(right).count("|et al)") == 2  # once in the way for ASCII, once in the other
+    pairs = left.select(F.col("id").alias("left_id")).crossJoin(right.select(F.col("id").alias("right_id")))
+    j = matching.features(pairs, left, right)
+    assert "levenshtein(substring" not in plan(j)
+    full = lambda c: F.when(c["cut"], F.least(F.length("x"), F.length("y"))).otherwise(F.greatest(F.length("x"), F.length("y")))
+    r = (j.join(left.select(F.col("id").alias("left_id"), F.col("title").alias("x"), F.col("cut").alias("p")), "left_id")
+         .join(right.select(F.col("id").alias("right_id"), F.col("title").alias("y"), F.col("cut").alias("q")), "right_id").withColumn("cut", F.col("p") | F.col("q")))
+    n = full(r)
+    want = F.coalesce(1 - F.levenshtein(F.substring("x", F.lit(1), n), F.substring("y", F.lit(1), n)) / F.greatest(n, F.lit(1)), F.lit(0.0))
+    assert r.count() > 1000 and r.where(~F.col("title").eqNullSafe(want)).count() == 0
+
+
+def test_plain_texts_are_normalised_as_others(spark):
+    """A quotation mark that is dropped takes a text off the short way for ASCII, with the same result."""
+    texts = ["A well-known -- test: 3-D, x-, -y, a-b-c 'quoted' it's", " Two  spaces\tand\nlines ", "UPPER_case/slash", "-", "", "a--b", "1-2-3", "x < y", "R&D", "R&amp;D <i>in</i> vitro", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(matching.normalised(F.col("t")), matching.normalised(F.concat("t", F.lit("\u2019")))).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    assert rows[0][0] == "a wellknown test 3d x y abc quoted its" and rows[-1][0] is None
+    names = ["O'Neil-Smith, Jörg", "Prof. Goethe, J. W.", "Jean- Luc deBoer", ",", ""]
+    got = spark.createDataFrame([(names,)], "n array<string>").select(F.transform(F.transform("n", matching.name_words), matching.person)).first()[0]
+    assert [tuple(r) for r in got] == [("oneilsmith", "oj"), ("gothe", "gjw"), ("jean", "jldb"), (",", ""), ("", "")]
