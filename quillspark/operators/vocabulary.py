@@ -70,18 +70,24 @@ def matched(terms: DataFrame, term: str, vocabulary: DataFrame, least: float = 8
     return exact.where("id is not null").select("term", "id", F.lit(1.0).alias("confidence")).union(rest)
 
 
-def scan(texts: DataFrame, key: str, text: Column, vocabulary: DataFrame) -> DataFrame:
+def scan(texts: DataFrame, key: str, text: Column, vocabulary: DataFrame, most_surfaces: int = MAX_SURFACES) -> DataFrame:
     """``(key, id, confidence)``: surfaces that stand in a text as whole words.
 
     ``vocabulary`` has ``surface`` (in the spelling of ``surface``) and ``id``; surfaces under three letters don't count. Confidence
-    grows with the words of the longest surface found. The distinct words of each text meet the first words of surfaces by a hash join;
-    what meets is looked up in the text, which is joined by key, so long texts are never repeated for each of their words.
+    grows with the words of the longest surface found. The distinct words of each text meet the first words of surfaces by a hash join,
+    and what meets is looked up in the text. Surfaces go to the tasks behind a check of their number, so a text is neither shuffled nor
+    kept for each of its words; more surfaces are joined by shuffles, and the texts once more by key. The joins are named by hints:
+    by its own estimate, far too low for compressed texts and their words, Spark would send these through the driver.
     """
-    plain = squeeze(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " "))
+    plain = F.concat(F.lit(" "), squeeze(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " ")), F.lit(" "))
     v = vocabulary.where("length(surface) >= 3").select(F.split_part("surface", F.lit(" "), F.lit(1)).alias("first"), "surface", "id")
-    words = texts.select(key, F.explode(F.array_distinct(F.split(plain, " "))).alias("first")).where("first <> ''")
-    met = words.join(v, "first").select(key, "surface", "id")
-    hits = met.join(texts.select(key, F.concat(F.lit(" "), plain, F.lit(" ")).alias("x")), key).where(F.contains(F.col("x"), F.concat(F.lit(" "), "surface", F.lit(" "))))
+    x = texts.select(key, plain.alias("x"))
+    word = F.explode(F.array_distinct(F.split(F.trim("x"), " "))).alias("first")
+    if v.count() <= most_surfaces:
+        met = x.select(key, "x", word).where("first <> ''").join(F.broadcast(v), "first")
+    else:
+        met = x.select(key, word).where("first <> ''").join(v.hint("merge"), "first").select(key, "surface", "id").join(x.hint("merge"), key)
+    hits = met.where(F.contains(F.col("x"), F.concat(F.lit(" "), "surface", F.lit(" "))))
     return hits.groupBy(key, "id").agg(F.max(F.least(F.lit(0.95), 0.6 + 0.02 * F.size(F.split("surface", " ")))).alias("confidence"))
 
 

@@ -211,3 +211,23 @@ def test_shared_runs_join_no_words_of_documents(spark):
     found = joins(s39_shared_runs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan())
     kinds = [out.apply(i).dataType().simpleString() for j in found for out in (j.left().output(), j.right().output()) for i in range(out.size())]
     assert kinds and not [k for k in kinds if k.startswith("array")]
+
+
+def test_scan_sends_only_the_vocabulary_to_the_driver(spark, tmp_path):
+    """However little Spark takes texts to hold, none are broadcast, nor their words; both ways to join give what a loop over texts gives."""
+    rng = random.Random(8)
+    said = ["space", "syntax", "random", "forests", "Space-Time", "prisms,", "of", "gnn", "x"]
+    texts = [(i, " ".join(rng.choice(said) for _ in range(rng.randrange(30)))) for i in range(200)] + [(200, None), (201, ""), (202, "Space Syntax")]
+    surfaces = [("space syntax", "s"), ("syntax", "s"), ("random forests", "f"), ("space time prisms", "p"), ("gnn", "g"), ("of", "short"), ("forests of random", "f")]
+    want = {}
+    for i, t in texts:
+        plain = " " + " ".join("".join(c if c.isalnum() else " " for c in (t or "").lower()).split()) + " "
+        for s, of in surfaces:
+            if len(s) >= 3 and f" {s} " in plain:
+                want[i, of] = max(want.get((i, of), 0), min(0.95, 0.6 + 0.02 * len(s.split())))
+    spark.createDataFrame(texts, "k long, t string").write.parquet(f"{tmp_path}/texts")
+    df, v = spark.read.parquet(f"{tmp_path}/texts"), spark.createDataFrame(surfaces, "surface string, id string")
+    for most, broadcasts in ((10, 1), (2, 0)):
+        hits = V.scan(df, "k", F.col("t"), v, most_surfaces=most)
+        assert hits._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == broadcasts
+        assert {(r.k, r.id): r.confidence for r in hits.collect()} == pytest.approx(want)
