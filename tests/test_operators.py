@@ -159,6 +159,13 @@ def test_salted_projection_shuffles_tags_and_not_their_pairs(spark):
     assert 0 < rows < 400 * 3 * 2 + 400 * 12
 
 
+def test_salted_projection_shuffles_no_more_for_more_blocks(spark):
+    """A block is shuffled once, not once for each of the others; the pairs stay the same."""
+    tags = spark.range(600).select(F.explode(F.array(*map(F.lit, "xyz"))).alias("i"), F.concat(F.lit("t"), "id").alias("t"))
+    (_, before), (few, rows), (many, more) = (_shuffled_rows(spark, lambda n=n: n and {tuple(r) for r in G.salted_projection(tags, "i", "t", n).collect()}) for n in (0, 3, 24))
+    assert few == many and len(few) == 600 * 599 // 2 and more - rows < rows - before + 600  # the helper's counts run on
+
+
 def test_cells_are_counted_alike_in_steps_of_any_size():
     import numpy as np
     rng = np.random.default_rng(3)
